@@ -1,0 +1,237 @@
+"""DuckDB equivalents of the registered queries, over the given tables as views."""
+
+from __future__ import annotations
+
+from testviews import LEXICON
+
+POSTS = """
+posts AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, event_id, ts, CAST(ts AS DATE) AS date,
+         CAST(user_id AS VARCHAR) AS username,
+         CAST(event_id % 17 AS INTEGER) AS retweets,
+         CAST(floor(value) AS INTEGER) AS favorites
+  FROM events)"""
+
+ACTIVITY = """
+activity AS (
+  SELECT date, count(*) AS post_count,
+         CAST(sum(retweets) AS BIGINT) AS sum_shares, CAST(sum(favorites) AS BIGINT) AS sum_likes
+  FROM posts WHERE isodow(date) < 6 GROUP BY date)"""
+
+OHLC = """
+         arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+         arg_max(value, (ts, event_id)) AS close, count(*) AS volume,
+         arg_max(value, (ts, event_id)) AS "adjClose" """
+
+PRICES = f"""
+prices AS (
+  SELECT CAST(ts AS DATE) AS date, {OHLC}
+  FROM events WHERE event_type = 'purchase' AND isodow(ts) < 6 GROUP BY CAST(ts AS DATE))"""
+
+ORDER_PRICES = """
+prices AS (
+  SELECT CAST(o_orderdate AS DATE) AS date, arg_max(o_totalprice, o_orderkey) AS close
+  FROM orders WHERE isodow(o_orderdate) < 6 GROUP BY CAST(o_orderdate AS DATE))"""
+
+LABELS = """
+labels_by_day AS (
+  SELECT p.date, p.close AS price, q.close AS next_price,
+         CASE WHEN p.close IS NULL OR q.close IS NULL THEN NULL
+              WHEN q.close - p.close > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label
+  FROM prices p JOIN prices q
+    ON p.date = CAST(q.date - to_days(CASE WHEN isodow(q.date) = 1 THEN 3 ELSE 1 END) AS DATE))"""
+
+SAMPLE = """
+sample AS (
+  SELECT * FROM posts {where}
+  QUALIFY row_number() OVER (PARTITION BY date ORDER BY md5('7:' || id), id) <= 200)"""
+
+EMOJI = r"[\p{So}+|\x{FE0F}]"
+HANDLE = r"@[\w|_]+"
+UNHANDLED = rf"regexp_replace(text, '{HANDLE}', '', 'g')"
+CLEAN = rf"regexp_replace(regexp_replace(text, '{EMOJI}', '', 'g'), '{HANDLE}', '', 'g')"
+SENTENCES = rf"list_filter(regexp_split_to_array({CLEAN}, '[.!?]+\s*|\n+'), lambda x: x <> '')"
+IS_WORD = (
+    r"regexp_matches(regexp_replace(x, '[\x{10000}-\x{10FFFF}]', '', 'g'), '[\p{L}\p{Nd}]')"
+)
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split({text}, ' '), lambda x: {IS_WORD})"
+
+
+def _totals(source: str, key: str) -> str:
+    """CTEs that end in ``totals(key, total)`` for the texts of ``source``."""
+    lexicon = ", ".join(f"('{token}', {polarity})" for token, polarity in LEXICON.items())
+    return f"""
+lexicon(token, polarity) AS (VALUES {lexicon}),
+sentence_list AS (SELECT {key}, unnest({SENTENCES}) AS sentence FROM {source}),
+sentence_rows AS (SELECT {key}, row_number() OVER () AS n, sentence FROM sentence_list),
+word_rows AS (SELECT {key}, n, unnest({_words("sentence")}) AS word FROM sentence_rows),
+classes AS (
+  SELECT {key}, n, count(*) AS words,
+         greatest(-2, least(2, sum(coalesce(polarity, 0)))) AS polarity
+  FROM word_rows LEFT JOIN lexicon ON word = token GROUP BY {key}, n),
+totals AS (SELECT {key}, sum(words * polarity) AS total FROM classes GROUP BY {key})"""
+
+
+def _bucket(low: int, middle: int, high: int) -> str:
+    return f"""CAST(CASE WHEN coalesce(total, 0) < -3 THEN {low}
+       WHEN coalesce(total, 0) > 1 THEN {high} ELSE {middle} END AS DOUBLE)"""
+
+
+def _document_sentiment(*buckets: int) -> str:
+    return f"""WITH {_totals("documents", "doc_id")}
+SELECT doc_id, {_bucket(*buckets)} AS sentiment FROM documents LEFT JOIN totals USING (doc_id)"""
+
+
+SENTIMENT = f"""
+{SAMPLE.format(where="WHERE isodow(date) < 6")},
+texts AS (
+  SELECT s.id, s.date, d.text FROM sample s
+  JOIN documents d ON d.doc_id = s.event_id % (SELECT count(*) FROM documents)),
+{_totals("texts", "id")},
+sentiment_by_day AS (
+  SELECT date, sum({_bucket(-1, 0, 1)}) AS total_sentiment
+  FROM texts LEFT JOIN totals USING (id) GROUP BY date)"""
+
+CORPUS = """
+corpus AS (
+  SELECT CASE WHEN toxic = 1 THEN CAST(0 AS DOUBLE) WHEN quality = 1 THEN CAST(2 AS DOUBLE)
+              ELSE CAST(1 AS DOUBLE) END AS label,
+         text, CAST(doc_id AS VARCHAR) AS id
+  FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL AND text <> '')"""
+
+PREDICTIONS = """
+predictions AS (
+  SELECT CAST(ts AS DATE) AS date, CAST(event_id AS VARCHAR) AS id, props AS text,
+         CAST(user_id % 3 AS DOUBLE) AS label,
+         CAST(event_id % 3 AS DOUBLE) AS forest_prediction,
+         CAST((event_id // 3) % 3 AS DOUBLE) AS perceptron_prediction,
+         CAST(CAST(floor(value) AS BIGINT) % 3 AS DOUBLE) AS bayes_prediction
+  FROM events),
+voted AS (
+  SELECT *, CASE
+    WHEN forest_prediction IN (perceptron_prediction, bayes_prediction) THEN forest_prediction
+    WHEN perceptron_prediction = bayes_prediction THEN perceptron_prediction
+    ELSE CAST(1 AS DOUBLE) END AS prediction
+  FROM predictions)"""
+
+RAW_TEXT = """'"' || event_type || ';' || replace(props, '"', '""') || '"'"""
+
+
+def _fold(key: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5('100:' || {key}), 1, 8) AS BIGINT) % 10 AS INTEGER)"
+
+
+def _overlay_part(series: str, source: str, value: str) -> str:
+    return f"""
+SELECT '{series}' AS series, CAST(date AS VARCHAR) AS day,
+       round(CASE WHEN sd IS NULL OR sd = 0 THEN CAST(0 AS DOUBLE) ELSE ({value} - mean) / sd END, 6)
+         AS z
+FROM {source}, (SELECT avg({value}) AS mean, stddev_samp({value}) AS sd FROM {source})"""
+
+
+FEATURES_FULL = f"""WITH {POSTS}, {ACTIVITY}, {PRICES}, {LABELS}, {SENTIMENT}
+SELECT * FROM activity JOIN labels_by_day USING (date) JOIN sentiment_by_day USING (date)"""
+
+ORACLE = {
+    "parse_raw_posts": f"""
+SELECT CAST(user_id AS VARCHAR) AS username, date_trunc('minute', ts) AS timestamp,
+       CAST(ts AS DATE) AS date, CAST(event_id % 17 AS INTEGER) AS retweets,
+       CAST(floor(value) AS INTEGER) AS favorites, {RAW_TEXT} AS text, '' AS geo,
+       '@u' AS mentions, '#t' AS hashtags, CAST(event_id AS VARCHAR) AS id,
+       'http://x/p' AS permalink
+FROM events""",
+    "parse_document_posts": r"""
+SELECT source AS username, TIMESTAMP '2024-01-02 03:04:00' AS timestamp,
+       DATE '2024-01-02' AS date, CAST(doc_id % 17 AS INTEGER) AS retweets,
+       CAST(n_chars AS INTEGER) AS favorites, translate(text, chr(13) || chr(10), '  ') AS text,
+       '' AS geo, '' AS mentions, lang AS hashtags, CAST(doc_id AS VARCHAR) AS id,
+       'http://x/d' AS permalink
+FROM documents""",
+    "reject_report": """
+SELECT CASE event_id % 4 WHEN 0 THEN 'bad time' WHEN 1 THEN 'bad retweets'
+            WHEN 2 THEN 'bad id' ELSE 'missing fields' END AS reject_reason, count(*) AS rows
+FROM events GROUP BY 1""",
+    "dedupe_posts": """
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (
+  PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+           l_returnflag, l_linestatus) = 1""",
+    "labeled_corpus": f"WITH {CORPUS} SELECT * FROM corpus",
+    "class_balance": f"WITH {CORPUS} SELECT label, count(*) AS rows FROM corpus GROUP BY label",
+    "daily_ohlc": f"WITH {PRICES} SELECT * FROM prices",
+    "trading_day_posts": f"""WITH {POSTS}
+SELECT id, date, retweets, favorites FROM posts WHERE isodow(date) < 6""",
+    "daily_activity": f"""WITH {POSTS}, {ACTIVITY}
+SELECT date, post_count, sum_shares AS sum_retweets, sum_likes AS sum_favorites FROM activity""",
+    "next_day_label_calendar": f"WITH {ORDER_PRICES}, {LABELS} SELECT * FROM labels_by_day",
+    "next_day_label_next_row": f"""
+WITH ticker_prices AS (
+  SELECT event_type AS ticker, CAST(ts AS DATE) AS date, {OHLC}
+  FROM events WHERE isodow(ts) < 6 GROUP BY event_type, CAST(ts AS DATE)),
+paired AS (
+  SELECT ticker, date, close AS price,
+         lead(close) OVER (PARTITION BY ticker ORDER BY date) AS next_price
+  FROM ticker_prices)
+SELECT ticker, date, price, next_price,
+       CASE WHEN next_price - price > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label
+FROM paired WHERE next_price IS NOT NULL""",
+    "features_no_sentiment": f"""WITH {POSTS}, {ACTIVITY}, {PRICES}, {LABELS}
+SELECT * FROM activity JOIN labels_by_day USING (date)""",
+    "features_long_history": f"""
+WITH posts AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, l_linenumber AS retweets,
+         CAST(l_quantity AS INTEGER) AS favorites
+  FROM lineitem), {ACTIVITY}, {ORDER_PRICES}, {LABELS}
+SELECT * FROM activity JOIN labels_by_day USING (date)""",
+    "clean_text": f"SELECT doc_id, {CLEAN} AS clean FROM documents",
+    "tokenize": f"""
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_tokens, array_to_string(words, ' ') AS tokens
+FROM (SELECT doc_id, {_words(UNHANDLED)} AS words FROM documents)""",
+    "sentence_split": f"""
+SELECT doc_id, unnest(range(1, len(parts) + 1)) AS sentence_no, unnest(parts) AS sentence
+FROM (SELECT doc_id, {SENTENCES} AS parts FROM documents)""",
+    "cap_per_day": f"WITH {POSTS}, {SAMPLE.format(where='')} SELECT date, id, username FROM sample",
+    "sentiment_signed": _document_sentiment(-1, 0, 1),
+    "sentiment_class": _document_sentiment(0, 1, 2),
+    "sentiment_joined": _document_sentiment(-1, 0, 1),
+    "score_with_plugin": _document_sentiment(-1, 0, 1),
+    "daily_sentiment": f"WITH {POSTS}, {SENTIMENT} SELECT * FROM sentiment_by_day",
+    "features_full": FEATURES_FULL,
+    "load_or_build": FEATURES_FULL,
+    "posts_per_day": f"""WITH {POSTS}
+SELECT CAST(date AS VARCHAR) AS day, count(*) AS posts_per_day FROM posts GROUP BY date""",
+    "price_per_day": f"WITH {PRICES} SELECT CAST(date AS VARCHAR) AS day, close AS price FROM prices",
+    "normalized_overlay": f"""WITH {POSTS}, {PRICES},
+per_day AS (SELECT date, count(*) AS n FROM posts GROUP BY date)
+{_overlay_part("posts", "per_day", "n")} UNION ALL {_overlay_part("price", "prices", "close")}""",
+    "step_counts": f"""
+WITH {POSTS}, {ACTIVITY}, {PRICES}, {LABELS}, {SAMPLE.format(where="WHERE isodow(date) < 6")}
+SELECT 'posts' AS step, count(*) AS rows FROM posts
+UNION ALL SELECT 'active days', count(*) FROM activity
+UNION ALL SELECT 'labelled days', count(*) FROM activity JOIN labels_by_day USING (date)
+UNION ALL SELECT 'sampled posts', count(*) FROM sample""",
+    "fold_assignment": f"SELECT o_orderkey, {_fold('o_orderkey')} AS fold FROM orders",
+    "majority_vote": f"""WITH {PREDICTIONS}
+SELECT id, forest_prediction, perceptron_prediction, bayes_prediction, prediction FROM voted""",
+    "join_predictions": f"WITH {PREDICTIONS} SELECT * EXCLUDE (label) FROM voted",
+    "confusion_matrix": f"""WITH {PREDICTIONS}
+SELECT label, prediction, count(*) AS rows FROM voted GROUP BY label, prediction""",
+    "accuracy": f"""WITH {PREDICTIONS}
+SELECT round(avg(CAST(label = prediction AS INTEGER)), 9) AS accuracy FROM voted""",
+    "weighted_recall": f"""WITH {PREDICTIONS},
+per_label AS (
+  SELECT label, count(*) AS n, avg(CAST(label = prediction AS INTEGER)) AS recall
+  FROM voted GROUP BY label)
+SELECT round(sum(n * recall) / sum(n), 9) AS weighted_recall FROM per_label""",
+    "fold_recall": f"""WITH {PREDICTIONS},
+per_label AS (
+  SELECT {_fold("id")} AS fold, label, count(*) AS n,
+         avg(CAST(label = prediction AS INTEGER)) AS recall
+  FROM voted GROUP BY ALL),
+per_fold AS (SELECT fold, sum(n * recall) / sum(n) AS recall FROM per_label GROUP BY fold)
+SELECT round(avg(recall), 9) AS mean_recall, count(*) AS folds FROM per_fold""",
+}

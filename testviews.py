@@ -1,0 +1,170 @@
+"""The given tables seen as posts, prices and labelled posts, for queries and tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crowdtape.functions.dates import is_trading_day
+from crowdtape.sources.raw_posts import HEADER
+
+# Tokens frequent in the given documents, spread over all polarities.
+LEXICON = {"the": 1, "of": -1, "with": 1, "to": -1, "from": 2, "re": -2}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def posts(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
+    """One post per event; its text is the document its number falls on."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("ts").alias("timestamp"),
+        F.to_date("ts").alias("date"),
+        F.col("user_id").cast("string").alias("username"),
+        (F.col("event_id") % 17).cast("int").alias("retweets"),
+        F.floor("value").cast("int").alias("favorites"),
+        "event_id",
+    )
+    if not with_text:
+        return events.drop("event_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    number = documents.agg(F.count("*").alias("n")).scalar()
+    return (
+        events.withColumn("doc_id", F.col("event_id") % number)
+        .join(documents, "doc_id")
+        .drop("doc_id", "event_id")
+    )
+
+
+def _daily_ohlc(trades: DataFrame, keys: list[str]) -> DataFrame:
+    when = F.struct("ts", "event_id")
+    return trades.groupBy(*keys).agg(
+        F.min_by("value", when).alias("open"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+        F.max_by("value", when).alias("close"),
+        F.count("*").alias("volume"),
+        F.max_by("value", when).alias("adjClose"),
+    )
+
+
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily prices on weekdays: purchase events are the trades."""
+    trades = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    trades = trades.withColumn("date", F.to_date("ts")).filter(is_trading_day(F.col("date")))
+    return _daily_ohlc(trades, ["date"])
+
+
+def ticker_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily prices on weekdays of one series per event type."""
+    trades = table(spark, sf_dir, "events").withColumn("date", F.to_date("ts"))
+    trades = trades.withColumnRenamed("event_type", "ticker")
+    return _daily_ohlc(trades.filter(is_trading_day(F.col("date"))), ["ticker", "date"])
+
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as the posts of a long history."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.to_date("l_shipdate").alias("date"),
+        F.col("l_linenumber").alias("retweets"),
+        F.col("l_quantity").cast("int").alias("favorites"),
+    )
+
+
+def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One price per weekday of the long history: the total of the day's last order."""
+    orders = table(spark, sf_dir, "orders").withColumn("date", F.to_date("o_orderdate"))
+    return (
+        orders.filter(is_trading_day(F.col("date")))
+        .groupBy("date")
+        .agg(F.max_by("o_totalprice", "o_orderkey").alias("close"))
+    )
+
+
+def mood_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with the mood as a word: (id, text, mood)."""
+    labels = table(spark, sf_dir, "labels")
+    mood = (
+        F.when(F.col("toxic") == 1, "negative")
+        .when(F.col("quality") == 1, "positive")
+        .otherwise("neutral")
+    )
+    return (
+        table(spark, sf_dir, "documents")
+        .join(labels, "doc_id")
+        .select(F.col("doc_id").cast("string").alias("id"), "text", mood.alias("mood"))
+    )
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in predictions: a label and three votes per event, from its fields."""
+    n = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("date"),
+        n.cast("string").alias("id"),
+        F.col("props").alias("text"),
+        (F.col("user_id") % 3).cast("double").alias("label"),
+        (n % 3).cast("double").alias("forest_prediction"),
+        (F.floor(n / 3) % 3).cast("double").alias("perceptron_prediction"),
+        (F.floor(F.col("value")) % 3).cast("double").alias("bayes_prediction"),
+    )
+
+
+def _line(time: Column, retweets: Column, post_id: Column, text: Column, permalink: str) -> Column:
+    quoted = [F.concat(F.lit('"'), c, F.lit('"')) for c in (text, post_id)]
+    return F.concat_ws(
+        ";",
+        F.col("user_id").cast("string"),
+        time,
+        retweets.cast("string"),
+        F.floor("value").cast("string"),
+        quoted[0],
+        F.lit(""),
+        F.lit("@u"),
+        F.lit("#t"),
+        quoted[1],
+        F.lit(permalink),
+    )
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a header, a good line and a line broken in one of four ways."""
+    n = F.col("event_id")
+    time = F.date_format("ts", "yyyy/MM/dd HH:mm")
+    number = n % 17
+    post_id = n.cast("string")
+    text = F.concat(F.col("event_type"), F.lit(";"), F.replace("props", F.lit('"'), F.lit('""')))
+    link = "http://x/p"
+    broken = (
+        F.when(n % 4 == 0, _line(F.lit("2024/13/40 25:61"), number, post_id, text, link))
+        .when(n % 4 == 1, _line(time, F.concat(number, F.lit("x")), post_id, text, link))
+        .when(n % 4 == 2, _line(time, number, F.concat(post_id, F.lit("a")), text, link))
+        .otherwise(_line(time, number, post_id, text, ""))
+    )
+    return table(spark, sf_dir, "events").select(
+        F.explode(F.array(F.lit(HEADER), _line(time, number, post_id, text, link), broken)).alias(
+            "value"
+        )
+    )
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each whole document as the text of one line, on which line breaks become blanks."""
+    text = F.replace(F.translate("text", "\r\n", "  "), F.lit('"'), F.lit('""'))
+    return table(spark, sf_dir, "documents").select(
+        F.concat_ws(
+            ";",
+            "source",
+            F.lit("2024/1/2 3:04"),
+            (F.col("doc_id") % 17).cast("string"),
+            F.col("n_chars").cast("string"),
+            F.concat(F.lit('"'), text, F.lit('"')),
+            F.lit(""),
+            F.lit(""),
+            F.col("lang"),
+            F.concat(F.lit('"'), F.col("doc_id").cast("string"), F.lit('"')),
+            F.lit("http://x/d"),
+        ).alias("value")
+    )
