@@ -135,12 +135,20 @@ def sentiment_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "sentiment")
 
 
-def sentiment_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sentiment_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for lexicons too large to be part of the expression."""
     scored = ops.score(_documents(spark, sf_dir), views.LEXICON, key="doc_id", inline_limit=0)
     return scored.select("doc_id", "sentiment")
 
 
+def sentiment_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for lexicons too large to be broadcast."""
+    scored = ops.score(
+        _documents(spark, sf_dir), views.LEXICON, key="doc_id", inline_limit=0, broadcast_limit=0
+    )
+    return scored.select("doc_id", "sentiment")
+
+
 def score_with_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = dict(views.LEXICON)
 
@@ -169,17 +177,24 @@ def score_with_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "sentiment")
 
 
+def _scorer(spark: SparkSession, sf_dir: str) -> Callable[[DataFrame], DataFrame]:
+    """Look up the texts of sampled posts and score them."""
+    max_rows = views.sample_size(spark, sf_dir)
+
+    def scorer(sample: DataFrame) -> DataFrame:
+        return ops.score(views.with_text(spark, sf_dir, sample, max_rows), views.LEXICON)
+
+    return scorer
+
+
 def daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = views.posts(spark, sf_dir, with_text=True)
-    return plans.daily_sentiment(posts, views.LEXICON, seed=7)
+    return plans.daily_sentiment(views.posts(spark, sf_dir), _scorer(spark, sf_dir), seed=7)
 
 
 def features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Activity comes from the events alone; only the sample needs the texts."""
-    features = plans.build_features(
-        views.posts(spark, sf_dir), views.prices(spark, sf_dir), sort=False
+    return plans.build_features(
+        views.posts(spark, sf_dir), views.prices(spark, sf_dir), _scorer(spark, sf_dir), seed=7
     )
-    return features.join(daily_sentiment(spark, sf_dir), "date").orderBy("date")
 
 
 def load_or_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +329,9 @@ def fit_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ensemble_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = plans.fit_mood_models(labeled_corpus(spark, sf_dir))
-    return plans.score_moods(views.posts(spark, sf_dir, with_text=True), models, seed=7)
+    sample = ops.cap_per_group(views.posts(spark, sf_dir).select("date", "id"), seed=7)
+    max_rows = views.sample_size(spark, sf_dir)
+    return plans.score_moods(views.with_text(spark, sf_dir, sample, max_rows), models, seed=7)
 
 
 QUERIES = (
@@ -337,7 +354,8 @@ QUERIES = (
     cap_per_day,
     sentiment_signed,
     sentiment_class,
-    sentiment_joined,
+    sentiment_broadcast,
+    sentiment_salted,
     score_with_plugin,
     daily_sentiment,
     features_full,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from crowdtape.fence import fence
 from crowdtape.functions.dates import previous_trading_day
 from crowdtape.functions.scores import direction_label
 
@@ -33,7 +34,8 @@ def next_day_label(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    series = prices.select(*by, date, F.col(price).alias("price"))
+    # Fenced, so that both sides of the join read one and the same price table.
+    series = fence(prices, *by, date, F.col(price).alias("price"))
     if mode == "next_row":
         following = Window.partitionBy(*by).orderBy(date)
         paired = series.withColumn("next_price", F.lead("price").over(following)).withColumn(

@@ -20,6 +20,8 @@ from crowdtape.schemas import LEXICON, conform
 
 # Lexicons up to this many tokens are compiled into the plan as hash sets.
 INLINE_LIMIT = 10_000
+# Lexicons up to this many tokens (some 100 MB) are broadcast.
+BROADCAST_LIMIT = 1_000_000
 
 Lexicon = DataFrame | Mapping[str, int]
 # Takes texts; gives for each a list of sentences as dicts(tokens=..., sentence_class=...).
@@ -50,6 +52,7 @@ def score(
     high: int = HIGH,
     form: str = "signed",
     inline_limit: int = INLINE_LIMIT,
+    broadcast_limit: int = BROADCAST_LIMIT,
     salts: int = 32,
 ) -> DataFrame:
     """Add ``sentiment``, the bucketed lexicon score of ``text``.
@@ -58,14 +61,33 @@ def score(
     add up. Its size decides the plan. Up to ``inline_limit`` tokens it becomes
     part of the expression and rows are scored where they are, without a
     shuffle. A larger one is joined to the tokens of the posts, for which ``key``
-    must be unique; the join is salted, since a few tokens make up most of a text.
+    must be unique: by broadcast up to ``broadcast_limit`` tokens, else by a
+    sort-merge join, salted since a few tokens make up most of a text.
     """
     inline = _inline_lexicon(lexicon, inline_limit)
     if inline is not None:
-        total = _inline_total(F.col(text), inline)
-        return posts.withColumn("sentiment", bucket(total, low, high, form))
+        # The sum is a column of its own, so that the bucket's tests share it.
+        scored = posts.withColumn("_total", _inline_total(F.col(text), inline))
+        return scored.withColumn("sentiment", bucket(F.col("_total"), low, high, form)).drop(
+            "_total"
+        )
     keys = [key] if isinstance(key, str) else list(key)
-    totals = _joined_totals(posts, _as_frame(posts, lexicon), text, keys, salts)
+    merged = (
+        _as_frame(posts, lexicon)
+        .dropna()
+        .groupBy("token")
+        .agg(F.sum("polarity").alias("_polarity"))
+    )
+    words = _word_rows(posts, text, keys)
+    if merged.count() <= broadcast_limit:
+        matched = words.join(F.broadcast(merged), "token")
+    else:
+        salt = F.pmod(F.xxhash64(*keys), F.lit(salts))
+        every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
+        matched = words.withColumn("_salt", salt).join(
+            merged.withColumn("_salt", every_salt).hint("merge"), ["token", "_salt"]
+        )
+    totals = _post_totals(matched, keys)
     total = F.when(F.col(text).isNotNull(), F.coalesce("_total", F.lit(0)))
     return (
         posts.join(totals, keys, "left")
@@ -116,29 +138,24 @@ def _inline_total(text: Column, lexicon: Mapping[str, int]) -> Column:
     )
 
 
-def _joined_totals(
-    posts: DataFrame, lexicon: DataFrame, text: str, keys: list[str], salts: int
-) -> DataFrame:
-    """Sum per post by joining its tokens to the lexicon; only matching posts come out."""
-    words = posts.select(*keys, F.posexplode(sentence_tokens(F.col(text)))).select(
-        *keys, F.col("pos").alias("_sentence"), F.size("col").alias("_words"),
+def _word_rows(posts: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """One row per token, with the number of its sentence and that sentence's size."""
+    by_sentence = posts.select(*keys, F.posexplode(sentence_tokens(F.col(text))))
+    return by_sentence.select(
+        *keys,
+        F.col("pos").alias("_sentence"),
+        F.size("col").alias("_words"),
         F.explode("col").alias("token"),
-    ).withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)))
-    salted = (
-        lexicon.dropna()
-        .groupBy("token")
-        .agg(F.sum("polarity").alias("_polarity"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     )
-    return (
-        words.join(salted, ["token", "_salt"])
-        .groupBy(*keys, "_sentence", "_words")
-        .agg(F.sum("_polarity").alias("_polarity"))
-        .groupBy(*keys)
-        .agg(
-            F.sum(weighted(F.col("_words"), sentence_polarity(F.col("_polarity")))).alias("_total")
-        )
+
+
+def _post_totals(matched: DataFrame, keys: list[str]) -> DataFrame:
+    """Sum per post from its tokens with a polarity; posts without one do not come out."""
+    by_sentence = matched.groupBy(*keys, "_sentence", "_words").agg(
+        F.sum("_polarity").alias("_polarity")
     )
+    part = weighted(F.col("_words"), sentence_polarity(F.col("_polarity")))
+    return by_sentence.groupBy(*keys).agg(F.sum(part).alias("_total"))
 
 
 def score_with(
@@ -170,6 +187,7 @@ def score_with(
     )
     return (
         posts.withColumn("_sentences", annotate(clean(F.col(text))))
-        .withColumn("sentiment", bucket(total, low, high, form))
-        .drop("_sentences")
+        .withColumn("_total", total)
+        .withColumn("sentiment", bucket(F.col("_total"), low, high, form))
+        .drop("_sentences", "_total")
     )

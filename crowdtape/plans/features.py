@@ -26,18 +26,16 @@ def daily_sentiment(
 ) -> DataFrame:
     """Sum of post sentiments per date over at most ``cap`` random posts a day.
 
-    ``scorer`` is a lexicon, or a function that adds ``sentiment`` to a
-    DataFrame (such as one built on ``score_with``). Weekends are dropped before
-    the sample is drawn: they have no price, so they would be scored in vain.
+    ``scorer`` is a lexicon, or a function that adds ``sentiment`` to the sample
+    (such as one built on ``score_with``). Posts may come without ``text`` when
+    the scorer looks the texts up itself: then only the sampled texts are read
+    into the plan. Weekends are dropped before the sample is drawn: they have no
+    price, so they would be scored in vain.
     """
     keys = [*by, "date"]
-    sample = cap_per_group(
-        (trading_days(posts) if weekdays_only else posts).select(*keys, "text", "id"),
-        keys,
-        "id",
-        cap,
-        seed,
-    )
+    text = ["text"] if "text" in posts.columns else []
+    days = trading_days(posts) if weekdays_only else posts
+    sample = cap_per_group(days.select(*keys, *text, "id"), keys, "id", cap, seed)
     scored = scorer(sample) if callable(scorer) else score(sample, scorer, key=[*keys, "id"])
     return scored.groupBy(*keys).agg(F.sum("sentiment").alias("total_sentiment"))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdtape.fence import fence
 from crowdtape.functions.text import unquote, valid_id
 from crowdtape.schemas import POST
 
@@ -46,7 +47,7 @@ def split_fields(pieces: Column) -> Column:
     marked = F.transform(
         pieces,
         lambda piece, i: F.when(
-            (last - i) % 2 == 0, F.translate(piece, SEPARATOR, "\n")
+            (last - i) % 2 == 0, F.replace(piece, F.lit(SEPARATOR), F.lit("\n"))
         ).otherwise(piece),
     )
     return F.split(F.array_join(marked, '"'), "\n")
@@ -94,7 +95,8 @@ def parse_posts(
     pieces = lines.filter((F.col("value") != HEADER) | F.col("value").isNull()).select(
         "value", F.split("value", '"').alias("pieces")
     )
-    split = pieces.select("value", split_fields(F.col("pieces")).alias("fields"))
+    # Without the fence each test on a field would split the line again.
+    split = fence(pieces, "value", split_fields(F.col("pieces")).alias("fields"))
 
     fields = F.col("fields")
     raw = {name: F.get(fields, F.lit(i)) for i, name in enumerate(FIELDS)}
@@ -106,8 +108,7 @@ def parse_posts(
     typed = split.select(
         "value",
         F.size(fields).alias("n_fields"),
-        F.exists(F.slice(fields, 10, F.greatest(F.size(fields) - 9, F.lit(0))), lambda f: f != "")
-        .alias("has_tail"),
+        (F.array_join(F.slice(fields, len(FIELDS), F.size(fields)), "") != "").alias("has_tail"),
         raw["username"].alias("username"),
         parse_time(raw["date"]).alias("timestamp"),
         _integer(raw["retweets"]).alias("retweets"),

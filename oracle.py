@@ -19,9 +19,9 @@ activity AS (
   FROM posts WHERE isodow(date) < 6 GROUP BY date)"""
 
 OHLC = """
-         arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
-         arg_max(value, (ts, event_id)) AS close, count(*) AS volume,
-         arg_max(value, (ts, event_id)) AS "adjClose" """
+         arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low,
+         arg_max(value, event_id) AS close, count(*) AS volume,
+         arg_max(value, event_id) AS "adjClose" """
 
 PRICES = f"""
 prices AS (
@@ -197,7 +197,8 @@ FROM (SELECT doc_id, {SENTENCES} AS parts FROM documents)""",
     "cap_per_day": f"WITH {POSTS}, {SAMPLE.format(where='')} SELECT date, id, username FROM sample",
     "sentiment_signed": _document_sentiment(-1, 0, 1),
     "sentiment_class": _document_sentiment(0, 1, 2),
-    "sentiment_joined": _document_sentiment(-1, 0, 1),
+    "sentiment_broadcast": _document_sentiment(-1, 0, 1),
+    "sentiment_salted": _document_sentiment(-1, 0, 1),
     "score_with_plugin": _document_sentiment(-1, 0, 1),
     "daily_sentiment": f"WITH {POSTS}, {SENTIMENT} SELECT * FROM sentiment_by_day",
     "features_full": FEATURES_FULL,

@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdtape.functions.dates import is_trading_day
+from crowdtape.operators.sampling import MAX_PER_DAY
 from crowdtape.sources.raw_posts import HEADER
 
+# Largest table these views broadcast.
+BROADCAST_ROWS = 1_000_000
+
 # Tokens frequent in the given documents, spread over all polarities.
 LEXICON = {"the": 1, "of": -1, "with": 1, "to": -1, "from": 2, "re": -2}
 
@@ -16,37 +20,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
-    """One post per event; its text is the document its number falls on."""
-    events = table(spark, sf_dir, "events").select(
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One post per event, without its text."""
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("timestamp"),
         F.to_date("ts").alias("date"),
         F.col("user_id").cast("string").alias("username"),
         (F.col("event_id") % 17).cast("int").alias("retweets"),
         F.floor("value").cast("int").alias("favorites"),
-        "event_id",
     )
-    if not with_text:
-        return events.drop("event_id")
+
+
+def with_text(spark: SparkSession, sf_dir: str, some_posts: DataFrame, max_rows=None) -> DataFrame:
+    """Add ``text`` to posts: the document that the number of the post falls on.
+
+    ``max_rows`` is the most rows ``some_posts`` can have, if that is known. When
+    it is few, the posts go to the documents, which then are not shuffled.
+    """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     number = documents.agg(F.count("*").alias("n")).scalar()
-    return (
-        events.withColumn("doc_id", F.col("event_id") % number)
-        .join(documents, "doc_id")
-        .drop("doc_id", "event_id")
-    )
+    numbered = some_posts.withColumn("doc_id", F.col("id").cast("bigint") % number)
+    if max_rows is not None and max_rows <= BROADCAST_ROWS:
+        numbered = F.broadcast(numbered)
+    return documents.join(numbered, "doc_id").drop("doc_id")
+
+
+def sample_size(spark: SparkSession, sf_dir: str, cap: int = MAX_PER_DAY) -> int:
+    """The most rows a sample of ``cap`` posts per day can have."""
+    return cap * posts(spark, sf_dir).select("date").distinct().count()
 
 
 def _daily_ohlc(trades: DataFrame, keys: list[str]) -> DataFrame:
-    when = F.struct("ts", "event_id")
+    """Event numbers are in time order, so the lowest is the first trade of the day."""
     return trades.groupBy(*keys).agg(
-        F.min_by("value", when).alias("open"),
+        F.min_by("value", "event_id").alias("open"),
         F.max("value").alias("high"),
         F.min("value").alias("low"),
-        F.max_by("value", when).alias("close"),
+        F.max_by("value", "event_id").alias("close"),
         F.count("*").alias("volume"),
-        F.max_by("value", when).alias("adjClose"),
+        F.max_by("value", "event_id").alias("adjClose"),
     )
 
 
