@@ -39,6 +39,11 @@ def _with_words(df: DataFrame) -> DataFrame:
     return df.withColumn("words", tokens(F.col("text")))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal the training rows out to all cores, however few files they came from."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _scaler() -> MinMaxScaler:
     return MinMaxScaler(inputCol="vector", outputCol="features")
 
@@ -81,32 +86,37 @@ def fit_vectorizer(
 
     The vocabulary is counted first, because Spark keeps all word vectors in the
     memory of one machine; when it is too large, raise ``min_count``. Training
-    is spread over ``num_partitions``, all cores by default.
+    is spread over ``num_partitions``, all cores by default; Spark's own default
+    would send all texts through one task.
     """
-    words = _with_words(labeled)
-    vocabulary = (
-        words.select(F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= min_count)
-        .count()
-    )
-    if vocabulary > max_vocabulary:
-        raise ValueError(f"{vocabulary} words exceed {max_vocabulary}: raise min_count")
-    word2vec = Word2Vec(
-        inputCol="words",
-        outputCol="vector",
-        vectorSize=size,
-        minCount=min_count,
-        seed=seed,
-        numPartitions=num_partitions or labeled.sparkSession.sparkContext.defaultParallelism,
-    ).fit(words)
-    return Vectorizer(word2vec, _scaler().fit(word2vec.transform(words)))
+    words = _with_words(_spread(labeled.select("text"))).select("words")
+    words = words.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        vocabulary = (
+            words.select(F.explode("words").alias("word"))
+            .groupBy("word")
+            .agg(F.count("*").alias("n"))
+            .filter(F.col("n") >= min_count)
+            .count()
+        )
+        if vocabulary > max_vocabulary:
+            raise ValueError(f"{vocabulary} words exceed {max_vocabulary}: raise min_count")
+        word2vec = Word2Vec(
+            inputCol="words",
+            outputCol="vector",
+            vectorSize=size,
+            minCount=min_count,
+            seed=seed,
+            numPartitions=num_partitions or labeled.sparkSession.sparkContext.defaultParallelism,
+        ).fit(words)
+        return Vectorizer(word2vec, _scaler().fit(word2vec.transform(words)))
+    finally:
+        words.unpersist()
 
 
 def word2vec_features(labeled: DataFrame, **options: int) -> DataFrame:
     """Labelled posts with their own ``features``."""
-    return fit_vectorizer(labeled, **options).transform(labeled)
+    return fit_vectorizer(labeled, **options).transform(_spread(labeled))
 
 
 def _outputs(model: str) -> dict[str, str]:
@@ -156,7 +166,7 @@ def fit_mood_models(
     pass over them many times, are fitted.
     """
     vectorizer = vectorizer or fit_vectorizer(labeled)
-    training = vectorizer.transform(labeled).select("label", "features")
+    training = vectorizer.transform(_spread(labeled)).select("label", "features")
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         estimators = classifiers or (mood_forest(), perceptron(), naive_bayes())

@@ -36,14 +36,16 @@ def with_text(spark: SparkSession, sf_dir: str, some_posts: DataFrame, max_rows=
     """Add ``text`` to posts: the document that the number of the post falls on.
 
     ``max_rows`` is the most rows ``some_posts`` can have, if that is known. When
-    it is few, the posts go to the documents, which then are not shuffled.
+    it is few, the posts go to the documents, which then are not shuffled, and
+    the texts found are dealt out again, since they may lie in few files.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     number = documents.agg(F.count("*").alias("n")).scalar()
     numbered = some_posts.withColumn("doc_id", F.col("id").cast("bigint") % number)
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        numbered = F.broadcast(numbered)
-    return documents.join(numbered, "doc_id").drop("doc_id")
+    if max_rows is None or max_rows > BROADCAST_ROWS:
+        return documents.join(numbered, "doc_id").drop("doc_id")
+    found = documents.join(F.broadcast(numbered), "doc_id").drop("doc_id")
+    return found.repartition(spark.sparkContext.defaultParallelism, "id")
 
 
 def sample_size(spark: SparkSession, sf_dir: str, cap: int = MAX_PER_DAY) -> int:
