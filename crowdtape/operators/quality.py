@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,19 +17,11 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
 def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
     """Number of rows of each named DataFrame, as one table from one job.
 
-    Exchanges the steps have in common run once.
+    Exchanges the steps have in common run once. A step that was written as a
+    snapshot is counted from the Parquet footers.
     """
     counts = [
         df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("step"), "rows")
         for name, df in steps.items()
     ]
     return reduce(DataFrame.unionByName, counts)
-
-
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count the rows that pass here while another job runs, without one of its own.
-
-    Read ``observation.get["rows"]`` after an action on the returned DataFrame.
-    """
-    observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation

@@ -17,16 +17,17 @@ def load_posts(
     """Return the distinct posts and the rejected lines of the raw files.
 
     The first call parses the files in one pass and writes good posts and
-    rejects side by side, told apart by the partition column ``accepted``; later
+    rejects side by side, told apart by the partition column ``status``; later
     calls read only the partition they need. The snapshot holds every parsed
     post. Repeated ids are reduced to one row when it is read.
     """
 
     def build() -> DataFrame:
         parsed = parse_posts(read_raw_posts(spark, raw_path), **parse_options)
-        return parsed.withColumn("accepted", F.col("reject_reason").isNull())
+        good = F.col("reject_reason").isNull()
+        return parsed.withColumn("status", F.when(good, "accepted").otherwise("rejected"))
 
-    snapshot = load_or_build(spark, snapshot_path, build, partition_by=["accepted"])
-    accepted = snapshot.filter("accepted").select(*POST.fieldNames())
-    rejected = snapshot.filter("NOT accepted").select("raw", "reject_reason")
+    snapshot = load_or_build(spark, snapshot_path, build, partition_by=["status"])
+    accepted = snapshot.filter("status = 'accepted'").select(*POST.fieldNames())
+    rejected = snapshot.filter("status = 'rejected'").select("raw", "reject_reason")
     return dedupe(accepted, "id", ["timestamp"]), rejected

@@ -420,6 +420,3 @@ def test_counts(spark):
     assert {r.label: r.rows for r in ops.class_balance(df).collect()} == {0.0: 1, 1.0: 2}
     steps = ops.step_counts({"all": df, "ones": df.filter("label = 1")})
     assert {r.step: r.rows for r in steps.collect()} == {"all": 3, "ones": 2}
-    watched, observation = ops.observed(df, "watched")
-    watched.write.format("noop").mode("overwrite").save()
-    assert observation.get["rows"] == 3

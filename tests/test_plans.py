@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,9 +175,14 @@ def test_mood_ensemble(spark, labeled, vectorizer):
 
 
 def test_shared_dir_follows_the_cluster_setting(spark):
+    def session(root, master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default: root),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    path = shared_dir(session("hdfs://shared/", "yarn"), "features")
+    assert path.startswith("hdfs://shared/features-")
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", "/shared/folder/")
-    try:
-        assert shared_dir(spark, "features").startswith("/shared/folder/features-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session(None, "yarn"), "features")
