@@ -135,6 +135,12 @@ def sentiment_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "sentiment")
 
 
+def labeled_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lexicon class next to the given label of each labelled post."""
+    scored = ops.score(labeled_corpus(spark, sf_dir), views.LEXICON, form="class")
+    return scored.select("id", "label", "sentiment")
+
+
 def sentiment_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for lexicons too large to be part of the expression."""
     scored = ops.score(_documents(spark, sf_dir), views.LEXICON, key="doc_id", inline_limit=0)
@@ -354,6 +360,7 @@ QUERIES = (
     cap_per_day,
     sentiment_signed,
     sentiment_class,
+    labeled_sentiment,
     sentiment_broadcast,
     sentiment_salted,
     score_with_plugin,

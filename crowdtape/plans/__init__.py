@@ -3,6 +3,7 @@
 from crowdtape.plans.direction import assemble, cross_validate, forest
 from crowdtape.plans.features import build_features, daily_sentiment
 from crowdtape.plans.ingest import load_posts
+from crowdtape.plans.jobs import direction_job, mood_job, report_job
 from crowdtape.plans.mood import (
     fit_mood_models,
     fit_vectorizer,
@@ -18,15 +19,18 @@ __all__ = [
     "build_features",
     "cross_validate",
     "daily_sentiment",
+    "direction_job",
     "fit_mood_models",
     "fit_vectorizer",
     "forest",
     "load_posts",
+    "mood_job",
     "naive_bayes",
     "normalized_overlay",
     "perceptron",
     "posts_per_day",
     "price_per_day",
+    "report_job",
     "score_moods",
     "word2vec_features",
 ]

@@ -1,6 +1,7 @@
 """Readers and writers: raw post lines, price files, labelled posts, snapshots."""
 
 from crowdtape.sources.labeled import label_posts, read_labeled_posts
+from crowdtape.sources.lexicon import read_lexicon
 from crowdtape.sources.prices import read_prices
 from crowdtape.sources.raw_posts import (
     accepted_posts,
@@ -18,6 +19,7 @@ __all__ = [
     "load_or_build",
     "parse_posts",
     "read_labeled_posts",
+    "read_lexicon",
     "read_prices",
     "read_raw_posts",
     "rejected_lines",

@@ -197,6 +197,8 @@ FROM (SELECT doc_id, {SENTENCES} AS parts FROM documents)""",
     "cap_per_day": f"WITH {POSTS}, {SAMPLE.format(where='')} SELECT date, id, username FROM sample",
     "sentiment_signed": _document_sentiment(-1, 0, 1),
     "sentiment_class": _document_sentiment(0, 1, 2),
+    "labeled_sentiment": f"""WITH {CORPUS}, {_totals("corpus", "id")}
+SELECT id, label, {_bucket(0, 1, 2)} AS sentiment FROM corpus LEFT JOIN totals USING (id)""",
     "sentiment_broadcast": _document_sentiment(-1, 0, 1),
     "sentiment_salted": _document_sentiment(-1, 0, 1),
     "score_with_plugin": _document_sentiment(-1, 0, 1),
