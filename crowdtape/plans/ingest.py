@@ -17,17 +17,21 @@ def load_posts(
     """Return the distinct posts and the rejected lines of the raw files.
 
     The first call parses the files in one pass and writes good posts and
-    rejects side by side, told apart by the partition column ``status``; later
-    calls read only the partition they need. The snapshot holds every parsed
-    post. Repeated ids are reduced to one row when it is read.
+    rejects side by side to ``snapshot_path``/parsed, told apart by the partition
+    column ``status``. From there the posts, one row per id, go to
+    ``snapshot_path``/distinct. Later calls read these files: ids are shuffled
+    once, not by every job that reads the posts.
     """
 
-    def build() -> DataFrame:
+    def parse() -> DataFrame:
         parsed = parse_posts(read_raw_posts(spark, raw_path), **parse_options)
         good = F.col("reject_reason").isNull()
         return parsed.withColumn("status", F.when(good, "accepted").otherwise("rejected"))
 
-    snapshot = load_or_build(spark, snapshot_path, build, partition_by=["status"])
-    accepted = snapshot.filter("status = 'accepted'").select(*POST.fieldNames())
-    rejected = snapshot.filter("status = 'rejected'").select("raw", "reject_reason")
-    return dedupe(accepted, "id", ["timestamp"]), rejected
+    parsed = load_or_build(spark, f"{snapshot_path}/parsed", parse, partition_by=["status"])
+    accepted = parsed.filter("status = 'accepted'").select(*POST.fieldNames())
+    rejected = parsed.filter("status = 'rejected'").select("raw", "reject_reason")
+    distinct = load_or_build(
+        spark, f"{snapshot_path}/distinct", lambda: dedupe(accepted, "id", ["timestamp"])
+    )
+    return distinct, rejected
