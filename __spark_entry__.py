@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import testviews as views  # noqa: E402
 from crowdtape import functions as fx  # noqa: E402
 from crowdtape import operators as ops  # noqa: E402
 from crowdtape import plans, sources  # noqa: E402
 from crowdtape.session import shared_dir  # noqa: E402
-from oracle import ORACLE  # noqa: E402
+from tapecheck import views  # noqa: E402
+from tapecheck.sql import ORACLE  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 

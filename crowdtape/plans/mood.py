@@ -29,6 +29,9 @@ LAYERS = (50, 100, 80, 100, 3)
 BLOCK_SIZE = 128
 MAX_ITERATIONS = 100
 
+# Fewest training rows worth a task of their own.
+ROWS_PER_TASK = 500
+
 # Spark holds all word vectors on the driver and in every executor.
 MAX_VOCABULARY = 2_000_000
 
@@ -39,13 +42,18 @@ def _with_words(df: DataFrame) -> DataFrame:
     return df.withColumn("words", tokens(F.col("text")))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal the training rows out to all cores, however few files they came from."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
 
+def _spread(labeled: DataFrame) -> DataFrame:
+    """Deal the training rows out evenly, however few files they came from.
 
-def _scaler() -> MinMaxScaler:
-    return MinMaxScaler(inputCol="vector", outputCol="features")
+    A small training set goes to fewer tasks than there are cores, because the
+    classifiers pass over it in many short jobs.
+    """
+    tasks = min(_cores(labeled), labeled.count() // ROWS_PER_TASK)
+    return labeled.repartition(max(1, tasks))
 
 
 @dataclass(frozen=True)
@@ -89,7 +97,8 @@ def fit_vectorizer(
     is spread over ``num_partitions``, all cores by default; Spark's own default
     would send all texts through one task.
     """
-    words = _with_words(_spread(labeled.select("text"))).select("words")
+    tasks = num_partitions or _cores(labeled)
+    words = _with_words(labeled.select("text").repartition(tasks)).select("words")
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         vocabulary = (
@@ -107,7 +116,7 @@ def fit_vectorizer(
             vectorSize=size,
             minCount=min_count,
             seed=seed,
-            numPartitions=num_partitions or labeled.sparkSession.sparkContext.defaultParallelism,
+            numPartitions=tasks,
         ).fit(words)
         return Vectorizer(word2vec, _scaler().fit(word2vec.transform(words)))
     finally:

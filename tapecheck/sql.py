@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from testviews import LEXICON
+from tapecheck.views import LEXICON
 
 POSTS = """
 posts AS (

@@ -22,6 +22,17 @@ TABLES = (
 ).split()
 
 
+# DuckDB name of each Spark type the queries return.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -46,11 +57,15 @@ def compare(df, con, sql) -> list[str]:
     """Differences between a DataFrame and a DuckDB query; none when they agree."""
     result = con.execute(sql)
     want_columns = [d[0] for d in result.description]
+    want_types = {d[0]: str(d[1]) for d in result.description}
+    got_types = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
     want = _rows(want_columns, result.fetchall())
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     problems = []
     if sorted(df.columns) != sorted(want_columns):
         problems.append(f"columns {df.columns} != {want_columns}")
+    elif got_types != want_types:
+        problems.append(f"types {set(got_types.items()) ^ set(want_types.items())}")
     if got != want:
         problems.append(
             f"{got.total()} rows against {want.total()}; only in Spark {list((got - want).items())[:2]}; "

@@ -405,11 +405,11 @@ def test_weighted_recall_equals_accuracy(spark, pairs):
 
 
 def test_metrics_agree_with_the_evaluator(spark, sf_dir):
-    import testviews
+    from tapecheck import views
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
     votes = ["forest_prediction", "perceptron_prediction", "bayes_prediction"]
-    df = ops.vote(testviews.predictions(spark, sf_dir), votes)
+    df = ops.vote(views.predictions(spark, sf_dir), votes)
     for name, own in (("weightedRecall", ops.weighted_recall), ("accuracy", ops.accuracy)):
         theirs = MulticlassClassificationEvaluator(metricName=name).evaluate(df)
         assert own(df).first()[0] == pytest.approx(theirs)
