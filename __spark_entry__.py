@@ -387,9 +387,26 @@ QUERIES = (
 )
 
 
+try:
+    import corpus_pipeline
+    from crowdtape.llm.queries import QUERIES as LLM_QUERIES
+    from crowdtape.llm.sql import ORACLE as LLM_ORACLE
+except ModuleNotFoundError as missing:
+    # Only where the package or the pipeline itself is gone.
+    if missing.name not in ("corpus_pipeline", "crowdtape.llm"):
+        raise
+    corpus_pipeline, LLM_QUERIES, LLM_ORACLE = None, (), {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    found = {query.__name__: query for query in (*QUERIES, *LLM_QUERIES)}
+    if corpus_pipeline is not None:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    found = {**ORACLE, **LLM_ORACLE}
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -29,6 +29,7 @@ TYPES = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
 
