@@ -1,0 +1,347 @@
+"""The corpus operators against brute force, round trips and awkward rows."""
+
+from __future__ import annotations
+
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from compare import compare, connect
+from crowdtape.llm import anomaly, chat, decontaminate, langid, line_dedup, packing, queries, separators
+from crowdtape.llm import simhash_trie, sql, url_cascade, warc
+from crowdtape.llm.separators import tokenizer_path
+
+WORD_BPE = tokenizer_path("word_bpe_49k.json")
+DOC = "doc_id bigint, text string, row string, n_words string, extra map<string,int>"
+AWKWARD = [
+    (1, "one two three four five six seven\nsame line here twice", "x", "y", None),
+    (1, "one two three four five six seven\nsame line here twice", "x", "y", None),
+    (2, None, None, None, {"a": 1}),
+    (None, "", None, None, None),
+    (None, " \t\n", None, None, None),
+    (3, "word " * 30_000, None, None, None),
+    (4, "ünï <|endoftext|> \x1c 漢字\U0001f600 it's 12", None, None, None),
+]
+settings.register_profile("llm", max_examples=25, deadline=None)
+settings.load_profile("llm")
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame(AWKWARD, DOC).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOC)
+
+
+@pytest.mark.parametrize("name", sorted(sql.ORACLE))
+def test_query_matches_sql(spark, sf_dir, name):
+    query = {q.__name__: q for q in queries.QUERIES}[name]
+    assert compare(query(spark, sf_dir), connect(sf_dir), sql.ORACLE[name]) == []
+
+
+# --- 1: separators -----------------------------------------------------------------
+
+
+@given(st.lists(st.integers(0, 3), max_size=60), st.integers(1, 7))
+def test_blocks_are_stitched(spark, tmp_path_factory, ids, block):
+    path = tmp_path_factory.mktemp("ids") / "x.tokens"
+    path.write_bytes(np.array(ids, "<u2").tobytes())
+    files = spark.createDataFrame([(str(path), 2 * len(ids))], "file string, n_bytes bigint")
+    got = sorted(tuple(r)[1:] for r in separators.scan_token_files(files, 0, block=block).collect())
+    expected, start = [], 0
+    for place, value in enumerate(ids):
+        if value == 0:
+            expected.append((len(expected), start, place - start, True))
+            start = place + 1
+    if start < len(ids):
+        expected.append((len(expected), start, len(ids) - start, False))
+    assert got == expected
+
+
+def test_token_counts(awkward, empty):
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    encode = separators.byte_bpe(path)
+    got = separators.token_counts(awkward, path, 50256).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == sorted(
+        (str(row[0]), len(encode(row[1] or ""))) for row in AWKWARD
+    )
+    assert separators.token_counts(empty, path, 50256).count() == 0
+
+
+# --- 2: lines ------------------------------------------------------------------------
+
+
+def brute_lines(rows):
+    lines = [(d, n, frozenset(re.findall(r"[^\x20\x09-\x0D]+", x))) for d, t in rows for n, x in enumerate(t.split("\n"))]
+    gone = {}
+    for d, n, words in lines:
+        similar = [p for p in lines if words and p[:2] < (d, n) and 5 * len(words & p[2]) >= 4 * len(words | p[2])]
+        gone.setdefault(d, []).extend([n] * bool(similar))
+    return gone
+
+
+lines_of_words = st.lists(st.lists(st.sampled_from("abcdefg"), max_size=8).map(" ".join), min_size=1, max_size=4)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(lines_of_words.map("\n".join), min_size=1, max_size=12))
+def test_line_dedup_is_exact(spark, texts):
+    rows = list(enumerate(texts))
+    report = line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id: r.removed_lines for r in report.collect()} == brute_lines(rows)
+
+
+def test_line_dedup_keeps_rows_and_columns(awkward, empty):
+    got = line_dedup.dedup_lines(awkward)
+    assert got.columns == awkward.columns and got.count() == len(AWKWARD)
+    assert {r.text for r in got.collect() if r.doc_id == 1} == {AWKWARD[0][1]}
+    assert line_dedup.dedup_lines(empty).count() == 0
+
+
+# --- 3: decontamination -----------------------------------------------------------------
+
+
+def test_leaks_are_those_of_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_leaks(docs, items, ["doc_id"]).select("row.doc_id", F.inline("matches"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    flat = lambda t: f" {' '.join(decontaminate.words_of(t))} "
+    whole = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if flat(i.text) in flat(d.text)}
+    assert got == whole and got
+
+
+@given(st.lists(st.lists(st.sampled_from("abcdefghij"), min_size=1, max_size=6), min_size=1, max_size=30), st.sets(st.sampled_from("abcdefghij")))
+def test_wand_finds_all_above_the_threshold(items, query):
+    from collections import Counter
+
+    frequency = Counter(w for words in items for w in set(words))
+    rows = [(n, " ".join(words)) for n, words in enumerate(items)]
+    mean = sum(map(len, items)) / len(items)
+    index = decontaminate.build_index(rows, frequency, len(items), mean, 0.6)
+    terms = [index.terms[w] for w in query if w in index.terms]
+    got = dict(decontaminate.block_max_wand(index, terms, 0.6))
+    scores = Counter()
+    for t in terms:
+        for at in range(index.starts[t], index.starts[t + 1]):
+            scores[int(index.items[at])] += index.impacts[at]
+    assert got == pytest.approx({i: s for i, s in scores.items() if s >= 0.6 - 1e-9})
+
+
+def test_leaks_with_awkward_rows(spark, awkward, empty):
+    items = spark.createDataFrame([(1, None), (2, "..."), (None, "one two three four five")], "item_id bigint, text string")
+    got = decontaminate.find_leaks(awkward, items, ["doc_id"]).collect()
+    assert sorted(len(r.matches) for r in got) == [0] * 5 + [1, 1]
+    assert decontaminate.find_leaks(empty, items, ["doc_id"]).count() == 0
+    assert decontaminate.find_leaks(awkward, items.limit(0), ["doc_id"]).count() == len(AWKWARD)
+
+
+# --- 4: url filters --------------------------------------------------------------------
+
+
+@given(st.lists(st.booleans(), max_size=300))
+def test_cascade_is_exact(listed):
+    rng = np.random.default_rng(len(listed))
+    first, second = rng.integers(0, 2**64, (2, len(listed)), np.uint64)
+    cascade = url_cascade.build_cascade(first, second, np.array(listed, bool))
+    assert url_cascade.is_listed(cascade, first, second).tolist() == listed
+
+
+@pytest.mark.parametrize("limit", [url_cascade.BROADCAST_BYTES, -1])
+def test_urls(spark, monkeypatch, limit):
+    monkeypatch.setattr(url_cascade, "BROADCAST_BYTES", limit)
+    rows = [
+        ("http://A.Example.ORG/en/1x", "block"),
+        ("x://example.org/en/2?u=://y", "allow"),
+        ("http://notorg/", "allow"),
+        ("http://m.casino-win.net/", "block"),
+        ("http://a.com/de/?", "block"),
+        ("http://org", "allow"),
+        ("no host", "allow"),
+        (None, "allow"),
+        (None, "allow"),
+    ]
+    pages = spark.createDataFrame([(n, u, "h") for n, (u, _) in enumerate(rows)], "page_id bigint, url string, host string")
+    got = sorted((r.row.page_id, r.verdict) for r in url_cascade.judge_urls(pages).collect())
+    assert [v for _, v in got] == [v for _, v in rows]
+    assert url_cascade.judge_urls(pages.limit(0)).count() == 0
+
+
+# --- 5: chat ------------------------------------------------------------------------------
+
+
+hostile = st.lists(st.sampled_from(["<|im_end|>", "<|im_start|>", "<\\|", "<", "|", "\\", "\n", "assistant", "%0A", "é"]), max_size=6).map("".join)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", None]) | hostile, hostile), min_size=1, max_size=6))
+def test_chat_round_trip(spark, turns):
+    rows = [(None, n, role, text, "x") for n, (role, text) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, formatted string")
+    got = chat.format_conversations(df).select("*", chat.loss_spans(F.col("recovered")).alias("spans")).first()
+    assert [(t.role, t.text) for t in got.recovered] == [(r or "", t) for r, t in turns]
+    undo = lambda s: re.sub(r"<\\(\\*)\|", r"<\1|", s)
+    masked = [undo(got.formatted[s.start : s.start + s.chars]) for s in got.spans]
+    assert masked == [t for r, t in turns if r == "assistant"]
+
+
+# --- 6: simhash -----------------------------------------------------------------------------
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=8), st.lists(st.tuples(st.integers(0, 7), st.sets(st.integers(0, 63), max_size=4)), max_size=40))
+def test_trie_join_is_exact(seeds, flips):
+    values = set(seeds)
+    for n, bits in flips:
+        values.add(seeds[n % len(seeds)] ^ sum(1 << b for b in bits))
+    fp = np.array(sorted(values), np.uint64)
+    i, j = simhash_trie.join_tries(fp, fp, ([0], [len(fp)], [0], [len(fp)]), [0], 2)
+    got = {(min(p), max(p)) for p in zip(i.tolist(), j.tolist(), strict=True) if p[0] != p[1]}
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 2
+    assert got == {(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b}
+
+
+@pytest.mark.parametrize("chunk", [1 << 17, 2])
+def test_components_are_those_of_all_links(spark, chunk):
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(2**63), 2**63, 20)
+    fp = {int(b) for b in base} | {int(b) ^ (1 << int(k)) ^ (1 << int(m)) for b in base for k, m in rng.integers(0, 62, (6, 2))}
+    fp = sorted(fp)
+    found = simhash_trie.links(spark.createDataFrame([(f,) for f in fp], "fp bigint"), chunk=chunk)
+    got = {r.node: r.root for r in simhash_trie.components(found).collect()}
+    u = np.array(fp, np.int64).view(np.uint64)
+    root = {f: f for f in fp}
+    for _ in fp:
+        for a, b in zip(*np.nonzero(np.bitwise_count(u[:, None] ^ u[None, :]) <= 2), strict=True):
+            root[fp[a]] = root[fp[b]] = min(root[fp[a]], root[fp[b]])
+    assert {f: got.get(f, f) for f in fp} == root
+
+
+def test_near_duplicates_with_awkward_rows(awkward, empty):
+    got = simhash_trie.near_duplicates(awkward, ["doc_id"]).collect()
+    assert len(got) == len(AWKWARD)
+    blank = [r for r in got if r.fp == 0]
+    assert len(blank) == 3 and {r.component_id for r in blank} == {2}
+    assert simhash_trie.near_duplicates(empty, ["doc_id"]).count() == 0
+
+
+# --- 7: warc -----------------------------------------------------------------------------------
+
+
+def test_archives_round_trip(spark):
+    rows = [(3, "u", "<p>a</p>"), (1, None, "<p>a</p>"), (2, "a\r\nb: c", None), (None, "v", "b" * 100_000), (5, "w", "b" * 100_000), (1, None, "<p>a</p>")]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
+    got = sorted(warc.read_archives(warc.write_archives(pages, 1000)).collect(), key=str)
+    kinds = sorted((str(r.page_id), r.record_type, str(r.refers_to)) for r in got)
+    assert kinds == [("1", "response", "None"), ("1", "response", "None"), ("2", "response", "None"), ("3", "revisit", "1"), ("5", "revisit", "None"), ("None", "response", "None")]
+    for r in got:
+        html = {(p, u): h for p, u, h in rows}[(r.page_id, r.url)] or ""
+        assert r.payload_bytes == len(html) and r.payload_digest == warc.digest_of(html.encode())
+    assert warc.write_archives(pages.limit(0)).count() == 0
+
+
+# --- 8: packing -------------------------------------------------------------------------------------
+
+
+@given(st.text(max_size=60) | st.lists(st.sampled_from(["it's", "Größe,", "a.", "<|endoftext|>", "9x", "ﬁ", "Σ", "\x85", "\x1c"])).map(" ".join))
+def test_word_ids_are_the_tokenizers(text):
+    words = test_word_ids_are_the_tokenizers.__dict__.setdefault("words", packing.WordIds(WORD_BPE))
+    ids = np.frombuffer(words.encode(text), "<u4").tolist()
+    assert ids == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_is_whole_and_tight(spark, awkward, empty):
+    pieces = packing.tokenized_pieces(awkward, WORD_BPE).unionByName(
+        spark.range(3000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "1 + id * 7919 % 1500 AS length", "0L AS ids_crc32")
+    )
+    rows = packing.pack(pieces.withColumn("offset", F.lit("clash")), group=500).collect()
+    assert len(rows) == pieces.count()
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by.values():
+        ends = [a + b for a, b in sorted(places)]
+        assert [a for a, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 4096
+    assert len(by) <= 1.02 * sum(r.length for r in rows) / 4096 + 1
+    long = sorted((r.piece, r.start, r.length) for r in rows if r.doc_id == 3 and r.length == 4096)
+    assert long[:2] == [(0, 0, 4096), (1, 4096, 4096)]
+    assert packing.pack(packing.tokenized_pieces(empty, WORD_BPE)).count() == 0
+    assert zlib.crc32(np.array([1], "<u4").tobytes()) in {r.ids_crc32 for r in rows if r.doc_id == 2}
+
+
+# --- 9: quality ---------------------------------------------------------------------------------------
+
+
+@given(st.text(alphabet="ab \n\t#|É", max_size=80))
+def test_statistics_are_those_of_the_definitions(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    expected = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+    assert anomaly.text_statistics(text)[:5] == expected
+
+
+def test_forest_tells_junk_from_labelled_good(spark, sf_dir, awkward, empty):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    judged = anomaly.judge(docs, labels, ["doc_id"]).where("NOT base_failed")
+    rows = judged.join(labels, F.col("row.doc_id") == labels.doc_id).select("kept", "quality").collect()
+    good = [r.kept for r in rows if r.quality]
+    bad = [r.kept for r in rows if not r.quality]
+    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.5 * len(bad)
+    assert anomaly.judge(awkward, labels, awkward.columns).count() == len(AWKWARD)
+    assert anomaly.judge(awkward, labels.limit(0), ["doc_id"]).where("kept").count() == 0
+    assert anomaly.judge(empty, labels, ["doc_id"]).count() == 0
+
+
+# --- 10: language ------------------------------------------------------------------------------------------
+
+
+def test_language_of_held_out_documents(spark, sf_dir, awkward, empty):
+    got = langid.op10_language_id(spark, sf_dir).where("held_out")
+    langs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    right = got.join(langs, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right >= 0.95
+    known = spark.createDataFrame([("hello there", "en"), ("bonjour", "fr"), (None, "de"), ("x", None)], "text string, lang string")
+    model = langid.fit(known)
+    assert model["languages"] == ["en", "fr"]
+    rows = langid.predict(awkward, model, ["doc_id"]).collect()
+    assert len(rows) == len(AWKWARD) and all(0 <= r.score <= 1 for r in rows)
+    assert [r.lang_pred for r in rows if r.row.doc_id == 2] == ["und"]
+    assert {r.lang_pred for r in langid.predict(awkward, None, ["doc_id"]).collect()} == {"und"}
+    assert langid.predict(empty, model, ["doc_id"]).count() == 0 and langid.fit(known.limit(0)) is None
+
+
+def test_codewords_differ():
+    for n in (2, 4, 9, 40):
+        code = langid.codewords(n)
+        assert len({tuple(row) for row in code}) == n
+
+
+# --- pipeline -----------------------------------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, kept = docs.columns, docs.cache()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, sf_dir).cache()
+        assert after.columns == columns, name
+        assert after.count() <= kept.count()
+        assert after.join(kept, "doc_id", "left_anti").isEmpty()
+        kept = after
+    leaks = decontaminate.find_leaks(kept, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ["doc_id"])
+    assert leaks.where("size(matches) > 0").isEmpty()
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir)
+    assert packed.select("doc_id").distinct().count() == kept.count()
