@@ -126,12 +126,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = ops.score(_documents(spark, sf_dir), views.LEXICON, key="doc_id")
+    scored = ops.score(_documents(spark, sf_dir), views.LEXICON)
     return scored.select("doc_id", "sentiment")
 
 
 def sentiment_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = ops.score(_documents(spark, sf_dir), views.LEXICON, key="doc_id", form="class")
+    scored = ops.score(_documents(spark, sf_dir), views.LEXICON, form="class")
     return scored.select("doc_id", "sentiment")
 
 
@@ -143,14 +143,14 @@ def labeled_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentiment_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for lexicons too large to be part of the expression."""
-    scored = ops.score(_documents(spark, sf_dir), views.LEXICON, key="doc_id", inline_limit=0)
+    scored = ops.score(_documents(spark, sf_dir), views.LEXICON, inline_limit=0)
     return scored.select("doc_id", "sentiment")
 
 
 def sentiment_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for lexicons too large to be broadcast."""
     scored = ops.score(
-        _documents(spark, sf_dir), views.LEXICON, key="doc_id", inline_limit=0, broadcast_limit=0
+        _documents(spark, sf_dir), views.LEXICON, inline_limit=0, broadcast_limit=0
     )
     return scored.select("doc_id", "sentiment")
 
@@ -184,22 +184,28 @@ def score_with_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scorer(spark: SparkSession, sf_dir: str) -> Callable[[DataFrame], DataFrame]:
-    """Look up the texts of sampled posts and score them."""
-    max_rows = views.sample_size(spark, sf_dir)
+    """Score each document once and give the score to its posts."""
+    documents = ops.score(_documents(spark, sf_dir), views.LEXICON).select("doc_id", "sentiment")
 
-    def scorer(sample: DataFrame) -> DataFrame:
-        return ops.score(views.with_text(spark, sf_dir, sample, max_rows), views.LEXICON)
+    def scorer(posts: DataFrame) -> DataFrame:
+        return views.with_document(spark, sf_dir, posts, documents)
 
     return scorer
 
 
 def daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.daily_sentiment(views.posts(spark, sf_dir), _scorer(spark, sf_dir), seed=7)
+    return plans.daily_sentiment(views.posts(spark, sf_dir), _scorer(spark, sf_dir))
+
+
+def daily_sentiment_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampling operator as an option: at most 200 posts a day."""
+    posts, scorer = views.posts(spark, sf_dir), _scorer(spark, sf_dir)
+    return plans.daily_sentiment(posts, scorer, cap=200, seed=7)
 
 
 def features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.build_features(
-        views.posts(spark, sf_dir), views.prices(spark, sf_dir), _scorer(spark, sf_dir), seed=7
+        views.posts(spark, sf_dir), views.prices(spark, sf_dir), _scorer(spark, sf_dir)
     )
 
 
@@ -296,15 +302,24 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cv_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated recall of the direction forest."""
-    result = plans.cross_validate(
-        _history(spark, sf_dir), plans.forest(num_trees=20), k=3, parallelism=3
-    )
-    return spark.createDataFrame([(float(result.avgMetrics[0]), 3)], "mean_recall double, folds int")
+    result = plans.cross_validate(_history(spark, sf_dir))
+    folds = len(result.avgMetrics) and result.getNumFolds()
+    return spark.createDataFrame([(float(result.avgMetrics[0]), folds)], "mean_recall double, folds int")
+
+
+def cv_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live path over the long history: sentiment of all posts, four inputs, 10 folds of 100 trees."""
+    features = plans.build_features(
+        views.shipments(spark, sf_dir), views.order_prices(spark, sf_dir), _scorer(spark, sf_dir)
+    ).dropna(subset=["label"])
+    result = plans.cross_validate(plans.assemble(features, keep=["date", "label"]))
+    recall = float(result.avgMetrics[0])
+    return spark.createDataFrame([(0 <= recall <= 1, result.getNumFolds())], "is_share boolean, folds int")
 
 
 def fit_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = _history(spark, sf_dir)
-    scored = plans.forest(num_trees=20).fit(history).transform(history)
+    scored = plans.forest().fit(history).transform(history)
     return scored.select("date", "label", "prediction")
 
 
@@ -335,9 +350,8 @@ def fit_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ensemble_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = plans.fit_mood_models(labeled_corpus(spark, sf_dir))
-    sample = ops.cap_per_group(views.posts(spark, sf_dir).select("date", "id"), seed=7)
-    max_rows = views.sample_size(spark, sf_dir)
-    return plans.score_moods(views.with_text(spark, sf_dir, sample, max_rows), models, seed=7)
+    posts = views.posts(spark, sf_dir).select("date", "id")
+    return plans.score_moods(views.with_text(spark, sf_dir, posts), models)
 
 
 QUERIES = (
@@ -365,6 +379,7 @@ QUERIES = (
     sentiment_salted,
     score_with_plugin,
     daily_sentiment,
+    daily_sentiment_capped,
     features_full,
     load_or_build,
     posts_per_day,
@@ -379,6 +394,7 @@ QUERIES = (
     weighted_recall,
     fold_recall,
     cv_forest,
+    cv_direction,
     fit_forest,
     word2vec_features,
     fit_mlp,

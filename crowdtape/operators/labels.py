@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdtape.fence import fence
-from crowdtape.functions.dates import previous_trading_day
+from crowdtape.functions.dates import is_trading_day, previous_trading_day
 from crowdtape.functions.scores import direction_label
 
 MODES = ("calendar", "next_row")
@@ -27,8 +27,7 @@ def next_day_label(
 
     * ``calendar``: the next trading day is the next calendar day, or Monday
       after a Friday. A day whose next trading day has no price drops out.
-      Prices are expected on weekdays only: a weekend price also counts as the
-      next one, so a Friday before it would come out twice.
+      Weekend prices are left out, and two prices for one (by, date) are an error.
     * ``next_row``: the next dated row of the series, however far away. ``by``
       splits the series between tasks; one series has one row per trading day.
     """
@@ -43,6 +42,11 @@ def next_day_label(
         )
         paired = paired.filter("has_next").drop("has_next")
     else:
+        series = series.filter(is_trading_day(F.col(date)))
+        once = series.groupBy(*by, date).agg(F.first("price").alias("price"), F.count("*").alias("_n"))
+        twice = F.raise_error(F.concat(F.lit("two prices for "), F.col(date).cast("string")))
+        price_once = F.when(F.col("_n") == 1, F.col("price")).otherwise(twice.cast("double"))
+        series = once.select(*by, date, price_once.alias("price"))
         shifted = series.select(
             *by,
             previous_trading_day(F.col(date)).alias(date),

@@ -18,8 +18,8 @@ def confusion(
 def accuracy(
     df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Share of rows whose prediction equals the label."""
-    hit = (F.col(label) == F.col(prediction)).cast("double")
+    """Share of rows whose prediction equals the label; a row without either is a miss."""
+    hit = F.coalesce(F.col(label) == F.col(prediction), F.lit(False)).cast("double")
     return df.groupBy(*by).agg(F.avg(hit).alias("accuracy"))
 
 

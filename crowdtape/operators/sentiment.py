@@ -8,7 +8,7 @@ and the sum is put into one of three buckets.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,8 @@ from crowdtape.schemas import LEXICON, conform
 
 # Lexicons up to this many tokens are compiled into the plan as hash sets.
 INLINE_LIMIT = 10_000
+# And with up to this many different polarities, each of which is one set test.
+INLINE_POLARITIES = 64
 # Lexicons up to this many tokens (some 100 MB) are broadcast.
 BROADCAST_LIMIT = 1_000_000
 
@@ -47,22 +49,25 @@ def score(
     posts: DataFrame,
     lexicon: Lexicon,
     text: str = "text",
-    key: str | Sequence[str] = "id",
     low: int = LOW,
     high: int = HIGH,
     form: str = "signed",
     inline_limit: int = INLINE_LIMIT,
     broadcast_limit: int = BROADCAST_LIMIT,
-    salts: int = 32,
+    salts: int | None = None,
 ) -> DataFrame:
     """Add ``sentiment``, the bucketed lexicon score of ``text``.
 
     The lexicon holds one polarity per token; polarities of a repeated token
     add up. Its size decides the plan. Up to ``inline_limit`` tokens it becomes
     part of the expression and rows are scored where they are, without a
-    shuffle. A larger one is joined to the tokens of the posts, for which ``key``
-    must be unique: by broadcast up to ``broadcast_limit`` tokens, else by a
-    sort-merge join, salted since a few tokens make up most of a text.
+    shuffle. A larger one is joined to the tokens of the texts: by broadcast up to
+    ``broadcast_limit`` tokens, else by a sort-merge join, salted over all shuffle
+    partitions since a few tokens make up most of a text.
+
+    Joined scores belong to texts, known by a 128-bit hash, not to rows: ids may
+    repeat or be null, equal texts are scored once, and no text is shuffled unless
+    it is part of the result.
     """
     inline = _inline_lexicon(lexicon, inline_limit)
     if inline is not None:
@@ -71,28 +76,35 @@ def score(
         return scored.withColumn("sentiment", bucket(F.col("_total"), low, high, form)).drop(
             "_total"
         )
-    keys = [key] if isinstance(key, str) else list(key)
+    # Null for a null text, so the test for it below the join needs no text above it.
+    hashes = {
+        "_h1": F.when(F.col(text).isNotNull(), F.xxhash64(text)),
+        "_h2": F.when(F.col(text).isNotNull(), F.xxhash64(F.lit("second"), F.col(text))),
+    }
+    keys = list(hashes)
+    hashed = posts.withColumns(hashes)
     merged = (
         _as_frame(posts, lexicon)
         .dropna()
         .groupBy("token")
         .agg(F.sum("polarity").alias("_polarity"))
     )
-    words = _word_rows(posts, text, keys)
+    words = _word_rows(hashed, text, keys)
     if merged.count() <= broadcast_limit:
         matched = words.join(F.broadcast(merged), "token")
     else:
-        salt = F.pmod(F.xxhash64(*keys), F.lit(salts))
+        salts = salts or int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salt = F.pmod(F.col("_h1"), F.lit(salts))
         every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
         matched = words.withColumn("_salt", salt).join(
             merged.withColumn("_salt", every_salt).hint("merge"), ["token", "_salt"]
         )
     totals = _post_totals(matched, keys)
-    total = F.when(F.col(text).isNotNull(), F.coalesce("_total", F.lit(0)))
+    total = F.when(F.col("_h1").isNotNull(), F.coalesce("_total", F.lit(0)))
     return (
-        posts.join(totals, keys, "left")
+        hashed.join(totals, keys, "left")
         .withColumn("sentiment", bucket(total, low, high, form))
-        .drop("_total")
+        .drop("_total", *keys)
     )
 
 
@@ -105,14 +117,15 @@ def _as_frame(posts: DataFrame, lexicon: Lexicon) -> DataFrame:
 def _inline_lexicon(lexicon: Lexicon, limit: int) -> dict[str, int] | None:
     """The lexicon as a dict, or None when it has more than ``limit`` entries."""
     if not isinstance(lexicon, DataFrame):
-        return dict(lexicon) if len(lexicon) <= limit else None
+        fits = len(lexicon) <= limit and len(set(lexicon.values())) <= INLINE_POLARITIES
+        return dict(lexicon) if fits else None
     rows = conform(lexicon, LEXICON).dropna().limit(limit + 1).collect()
     if len(rows) > limit:
         return None
     merged: dict[str, int] = {}
     for token, polarity in rows:
         merged[token] = merged.get(token, 0) + polarity
-    return merged
+    return merged if len(set(merged.values())) <= INLINE_POLARITIES else None
 
 
 def _token_polarity(token: Column, lexicon: Mapping[str, int]) -> Column:
@@ -139,19 +152,21 @@ def _inline_total(text: Column, lexicon: Mapping[str, int]) -> Column:
 
 
 def _word_rows(posts: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """One row per token, with the number of its sentence and that sentence's size."""
+    """One row per token, with its place, the number of its sentence and that sentence's size."""
     by_sentence = posts.select(*keys, F.posexplode(sentence_tokens(F.col(text))))
     return by_sentence.select(
         *keys,
         F.col("pos").alias("_sentence"),
         F.size("col").alias("_words"),
-        F.explode("col").alias("token"),
+        F.posexplode("col").alias("_place", "token"),
     )
 
 
 def _post_totals(matched: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum per post from its tokens with a polarity; posts without one do not come out."""
-    by_sentence = matched.groupBy(*keys, "_sentence", "_words").agg(
+    """Sum per text from its tokens with a polarity; texts without one do not come out."""
+    # Rows with equal texts bring equal tokens, which count once.
+    once = matched.dropDuplicates([*keys, "_sentence", "_words", "_place"])
+    by_sentence = once.groupBy(*keys, "_sentence", "_words").agg(
         F.sum("_polarity").alias("_polarity")
     )
     part = weighted(F.col("_words"), sentence_polarity(F.col("_polarity")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crowdtape.operators.activity import daily_activity, trading_days
 from crowdtape.operators.labels import next_day_label
-from crowdtape.operators.sampling import MAX_PER_DAY, cap_per_group
+from crowdtape.operators.sampling import cap_per_group
 from crowdtape.operators.sentiment import Lexicon, score
 
 # Sums of the post columns that become features.
@@ -19,24 +19,27 @@ POST_MEASURES = {"sum_shares": "retweets", "sum_likes": "favorites"}
 def daily_sentiment(
     posts: DataFrame,
     scorer: Lexicon | Callable[[DataFrame], DataFrame],
-    cap: int = MAX_PER_DAY,
+    cap: int | None = None,
     seed: int = 0,
     by: Sequence[str] = (),
     weekdays_only: bool = True,
 ) -> DataFrame:
-    """Sum of post sentiments per date over at most ``cap`` random posts a day.
+    """Sum of post sentiments per date, over all posts or at most ``cap`` random ones a day.
 
-    ``scorer`` is a lexicon, or a function that adds ``sentiment`` to the sample
+    ``scorer`` is a lexicon, or a function that adds ``sentiment`` to the posts
     (such as one built on ``score_with``). Posts may come without ``text`` when
-    the scorer looks the texts up itself: then only the sampled texts are read
-    into the plan. Weekends are dropped before the sample is drawn: they have no
-    price, so they would be scored in vain.
+    the scorer looks the texts up itself. Weekends are dropped first: they have
+    no price, so they would be scored in vain. A sample is drawn from narrow
+    rows, and texts only meet the ids that were drawn.
     """
     keys = [*by, "date"]
     text = ["text"] if "text" in posts.columns else []
     days = trading_days(posts) if weekdays_only else posts
-    sample = cap_per_group(days.select(*keys, *text, "id"), keys, "id", cap, seed)
-    scored = scorer(sample) if callable(scorer) else score(sample, scorer, key=[*keys, "id"])
+    chosen = days.select(*keys, *text, "id")
+    if cap is not None:
+        drawn = cap_per_group(chosen.select(*keys, "id"), keys, "id", cap, seed)
+        chosen = chosen.join(drawn, [*keys, "id"], "left_semi") if text else drawn
+    scored = scorer(chosen) if callable(scorer) else score(chosen, scorer)
     return scored.groupBy(*keys).agg(F.sum("sentiment").alias("total_sentiment"))
 
 
@@ -47,7 +50,7 @@ def build_features(
     measures: Mapping[str, str] | None = POST_MEASURES,
     price: str = "close",
     mode: str = "calendar",
-    cap: int = MAX_PER_DAY,
+    cap: int | None = None,
     seed: int = 0,
     by: Sequence[str] = (),
     sort: bool = True,

@@ -11,6 +11,12 @@ from crowdtape.sources.raw_posts import parse_posts, read_raw_posts
 from crowdtape.sources.snapshot import load_or_build
 
 
+def _distinct(posts: DataFrame) -> DataFrame:
+    """One post per id; posts with an empty id cannot be told to be the same, so all stay."""
+    known = dedupe(posts.filter("id <> ''"), "id", ["timestamp"])
+    return known.unionByName(posts.filter("id = '' OR id IS NULL"))
+
+
 def load_posts(
     spark: SparkSession, raw_path: str | list[str], snapshot_path: str, **parse_options: bool
 ) -> tuple[DataFrame, DataFrame]:
@@ -32,6 +38,6 @@ def load_posts(
     accepted = parsed.filter("status = 'accepted'").select(*POST.fieldNames())
     rejected = parsed.filter("status = 'rejected'").select("raw", "reject_reason")
     distinct = load_or_build(
-        spark, f"{snapshot_path}/distinct", lambda: dedupe(accepted, "id", ["timestamp"])
+        spark, f"{snapshot_path}/distinct", lambda: _distinct(accepted)
     )
     return distinct, rejected

@@ -24,34 +24,48 @@ def direction_job(
     work_dir: str,
     trees: int = TREES,
     folds: int = FOLDS,
+    mode: str = "calendar",
+    cap: int | None = None,
+    seed: int = 0,
+    lenient_time: bool = False,
 ) -> CrossValidatorModel:
     """Cross-validate the direction forest on raw posts and prices.
 
     Parsed posts and daily features are kept below ``work_dir`` and reused by
-    the next run. ``avgMetrics[0]`` is the mean weighted recall.
+    the next run. Days whose price or next price is unknown have no label and are
+    left out. ``avgMetrics[0]`` is the mean weighted recall.
     """
-    posts, _ = load_posts(spark, raw_posts, f"{work_dir}/posts")
+    posts, _ = load_posts(spark, raw_posts, f"{work_dir}/posts", lenient_time=lenient_time)
     features = load_or_build(
         spark,
         f"{work_dir}/features",
-        lambda: build_features(posts, read_prices(spark, prices), lexicon),
+        lambda: build_features(
+            posts, read_prices(spark, prices), lexicon, mode=mode, cap=cap, seed=seed
+        ),
     )
-    data = assemble(features, keep=["date", "label"])
+    data = assemble(features.dropna(subset=["label"]), keep=["date", "label"])
     return cross_validate(data, forest(trees), k=folds)
 
 
 def mood_job(
-    spark: SparkSession, raw_posts: str, labeled_posts: str, work_dir: str, **fit_options
+    spark: SparkSession,
+    raw_posts: str,
+    labeled_posts: str,
+    work_dir: str,
+    cap: int | None = None,
+    seed: int = 0,
+    lenient_time: bool = False,
+    **fit_options,
 ) -> DataFrame:
-    """Train the mood ensemble on labelled posts and write the moods of the raw posts.
+    """Train the mood ensemble on labelled posts and write the moods of all raw posts.
 
     Returns the written predictions, kept as ``work_dir``/moods.
     """
-    posts, _ = load_posts(spark, raw_posts, f"{work_dir}/posts")
+    posts, _ = load_posts(spark, raw_posts, f"{work_dir}/posts", lenient_time=lenient_time)
 
     def build() -> DataFrame:
         models = fit_mood_models(read_labeled_posts(spark, labeled_posts), **fit_options)
-        return score_moods(posts, models)
+        return score_moods(posts, models, cap, seed)
 
     return load_or_build(spark, f"{work_dir}/moods", build)
 

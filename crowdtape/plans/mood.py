@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdtape.functions.text import tokens
-from crowdtape.operators.sampling import MAX_PER_DAY, cap_per_group
+from crowdtape.operators.sampling import cap_per_group
 from crowdtape.operators.votes import vote
 from crowdtape.plans.direction import SEED, TREES
 
@@ -29,11 +29,12 @@ LAYERS = (50, 100, 80, 100, 3)
 BLOCK_SIZE = 128
 MAX_ITERATIONS = 100
 
-# Fewest training rows worth a task of their own.
-ROWS_PER_TASK = 500
+# Training rows go to this many partitions on any machine: results follow the partitioning.
+PARTITIONS = 8
 
-# Spark holds all word vectors on the driver and in every executor.
-MAX_VOCABULARY = 2_000_000
+# The models are fitted on at most this many labelled rows, those of the smallest hashes,
+# which also bounds the vocabulary that Spark holds on the driver and in every executor.
+MAX_TRAINING_ROWS = 200_000
 
 MODELS = ("forest", "perceptron", "bayes")
 
@@ -42,18 +43,13 @@ def _with_words(df: DataFrame) -> DataFrame:
     return df.withColumn("words", tokens(F.col("text")))
 
 
-def _cores(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
-
-
-def _spread(labeled: DataFrame) -> DataFrame:
-    """Deal the training rows out evenly, however few files they came from.
-
-    A small training set goes to fewer tasks than there are cores, because the
-    classifiers pass over it in many short jobs.
-    """
-    tasks = min(_cores(labeled), labeled.count() // ROWS_PER_TASK)
-    return labeled.repartition(max(1, tasks))
+def _training_rows(
+    labeled: DataFrame, partitions: int = PARTITIONS, max_rows: int = MAX_TRAINING_ROWS
+) -> DataFrame:
+    """A bounded set of rows in one order and partitioning, whatever files and cores there are."""
+    order = [F.xxhash64("text"), *labeled.columns]
+    bounded = labeled.orderBy(*order).limit(max_rows)
+    return bounded.repartition(partitions, F.xxhash64("text")).sortWithinPartitions(*order)
 
 
 def _scaler() -> MinMaxScaler:
@@ -91,29 +87,18 @@ def fit_vectorizer(
     size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
     seed: int = SEED,
-    num_partitions: int | None = None,
-    max_vocabulary: int = MAX_VOCABULARY,
+    num_partitions: int = PARTITIONS,
+    max_rows: int = MAX_TRAINING_ROWS,
 ) -> Vectorizer:
-    """Fit word vectors and a 0..1 scaler on the ``text`` of ``labeled``.
+    """Fit word vectors and a 0..1 scaler on the ``text`` of at most ``max_rows`` rows.
 
-    The vocabulary is counted first, because Spark keeps all word vectors in the
-    memory of one machine; when it is too large, raise ``min_count``. Training
-    is spread over ``num_partitions``, all cores by default; Spark's own default
-    would send all texts through one task.
+    Each of the ``num_partitions`` sends a copy of the vectors once per iteration,
+    so the shuffle does not grow with the cores.
     """
-    tasks = num_partitions or _cores(labeled)
-    words = _with_words(labeled.select("text").repartition(tasks)).select("words")
+    tasks = num_partitions
+    words = _with_words(_training_rows(labeled.select("text"), tasks, max_rows)).select("words")
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        vocabulary = (
-            words.select(F.explode("words").alias("word"))
-            .groupBy("word")
-            .agg(F.count("*").alias("n"))
-            .filter(F.col("n") >= min_count)
-            .count()
-        )
-        if vocabulary > max_vocabulary:
-            raise ValueError(f"{vocabulary} words exceed {max_vocabulary}: raise min_count")
         word2vec = Word2Vec(
             inputCol="words",
             outputCol="vector",
@@ -129,7 +114,7 @@ def fit_vectorizer(
 
 def word2vec_features(labeled: DataFrame, **options: int) -> DataFrame:
     """Labelled posts with their own ``features``."""
-    return fit_vectorizer(labeled, **options).transform(_spread(labeled))
+    return fit_vectorizer(labeled, **options).transform(_training_rows(labeled))
 
 
 def _outputs(model: str) -> dict[str, str]:
@@ -179,7 +164,7 @@ def fit_mood_models(
     pass over them many times, are fitted.
     """
     vectorizer = vectorizer or fit_vectorizer(labeled)
-    training = vectorizer.transform(_spread(labeled)).select("label", "features")
+    training = vectorizer.transform(_training_rows(labeled)).select("label", "features")
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         estimators = classifiers or (mood_forest(), perceptron(), naive_bayes())
@@ -191,17 +176,21 @@ def fit_mood_models(
 def score_moods(
     posts: DataFrame,
     models: MoodModels,
-    cap: int = MAX_PER_DAY,
+    cap: int | None = None,
     seed: int = 0,
-    refit_scaler: bool = True,
+    refit_scaler: bool = False,
 ) -> DataFrame:
-    """Majority mood of at most ``cap`` random posts per date.
+    """Majority mood of all posts, or of at most ``cap`` random ones per date.
 
-    By default the features are scaled to the range of the sample, not to that
-    of the training texts. The models add their columns one after another to the same rows, so their
+    The features are scaled to the range of the training texts, so the mood of a
+    post depends on no other post; ``refit_scaler`` scales them to the range of
+    the given posts instead. The models add their columns one after another to the same rows, so their
     predictions meet without a join.
     """
-    sample = cap_per_group(posts.select("date", "id", "text"), "date", "id", cap, seed)
+    sample = posts.select("date", "id", "text")
+    if cap is not None:
+        drawn = cap_per_group(posts.select("date", "id"), "date", "id", cap, seed)
+        sample = sample.join(drawn, ["date", "id"], "left_semi")
     scored = models.vectorizer.transform(sample, refit_scaler)
     for classifier in models.classifiers:
         scored = classifier.transform(scored)

@@ -29,17 +29,13 @@ COLUMNS = [
 ]
 
 
-def read_labeled_posts(
-    spark: SparkSession, path: str | list[str], multi_line: bool = False
-) -> DataFrame:
+def read_labeled_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Read the labelled CSV files and return ``label``, ``text`` and ``id``.
 
-    By default a record ends at the line end, so files can be split between
-    tasks, and the pieces of a record with a line break in its text are dropped
-    for lack of a valid id. ``multi_line`` keeps such records whole, at the price
-    of one task per file.
+    Records are read whole, line breaks and doubled quotes in texts included, so a
+    file is one task; many files spread over many.
     """
-    options = {"multiLine": True, "escape": '"'} if multi_line else {}
+    options = {"multiLine": True, "escape": '"'}
     schema = T.StructType([T.StructField(name, T.StringType()) for name in COLUMNS])
     raw = spark.read.csv(path, schema=schema, header=True, **options)
     return label_posts(raw, mood="airline_sentiment", text="text", post_id="tweet_id")

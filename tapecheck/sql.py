@@ -85,8 +85,9 @@ def _document_sentiment(*buckets: int) -> str:
 SELECT doc_id, {_bucket(*buckets)} AS sentiment FROM documents LEFT JOIN totals USING (doc_id)"""
 
 
-SENTIMENT = f"""
-{SAMPLE.format(where="WHERE isodow(date) < 6")},
+ALL_POSTS = "sample AS (SELECT * FROM posts WHERE isodow(date) < 6)"
+
+BY_DAY = f"""
 texts AS (
   SELECT s.id, s.date, d.text FROM sample s
   JOIN documents d ON d.doc_id = s.event_id % (SELECT count(*) FROM documents)),
@@ -95,6 +96,9 @@ sentiment_by_day AS (
   SELECT date, sum({_bucket(-1, 0, 1)}) AS total_sentiment
   FROM texts LEFT JOIN totals USING (id) GROUP BY date)"""
 
+SENTIMENT = f"{ALL_POSTS}, {BY_DAY}"
+CAPPED_SENTIMENT = f"{SAMPLE.format(where='WHERE isodow(date) < 6')}, {BY_DAY}"
+
 CORPUS = """
 corpus AS (
   SELECT CASE WHEN toxic = 1 THEN CAST(0 AS DOUBLE) WHEN quality = 1 THEN CAST(2 AS DOUBLE)
@@ -203,6 +207,8 @@ SELECT id, label, {_bucket(0, 1, 2)} AS sentiment FROM corpus LEFT JOIN totals U
     "sentiment_salted": _document_sentiment(-1, 0, 1),
     "score_with_plugin": _document_sentiment(-1, 0, 1),
     "daily_sentiment": f"WITH {POSTS}, {SENTIMENT} SELECT * FROM sentiment_by_day",
+    "daily_sentiment_capped": f"WITH {POSTS}, {CAPPED_SENTIMENT} SELECT * FROM sentiment_by_day",
+    "cv_direction": "SELECT true AS is_share, CAST(10 AS INTEGER) AS folds",
     "features_full": FEATURES_FULL,
     "load_or_build": FEATURES_FULL,
     "posts_per_day": f"""WITH {POSTS}
@@ -224,7 +230,7 @@ SELECT id, forest_prediction, perceptron_prediction, bayes_prediction, predictio
     "confusion_matrix": f"""WITH {PREDICTIONS}
 SELECT label, prediction, count(*) AS rows FROM voted GROUP BY label, prediction""",
     "accuracy": f"""WITH {PREDICTIONS}
-SELECT round(avg(CAST(label = prediction AS INTEGER)), 9) AS accuracy FROM voted""",
+SELECT round(avg(coalesce(CAST(label = prediction AS INTEGER), 0)), 9) AS accuracy FROM voted""",
     "weighted_recall": f"""WITH {PREDICTIONS},
 per_label AS (
   SELECT label, count(*) AS n, avg(CAST(label = prediction AS INTEGER)) AS recall

@@ -6,12 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdtape.functions.dates import is_trading_day
-from crowdtape.operators.sampling import MAX_PER_DAY
 from crowdtape.sources.raw_posts import HEADER
 
-# Largest table these views broadcast.
-BROADCAST_ROWS = 1_000_000
-
 # Tokens frequent in the given documents, spread over all polarities.
 LEXICON = {"the": 1, "of": -1, "with": 1, "to": -1, "from": 2, "re": -2}
 
@@ -32,25 +28,17 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_text(spark: SparkSession, sf_dir: str, some_posts: DataFrame, max_rows=None) -> DataFrame:
-    """Add ``text`` to posts: the document that the number of the post falls on.
-
-    ``max_rows`` is the most rows ``some_posts`` can have, if that is known. When
-    it is few, the posts go to the documents, which then are not shuffled, and
-    the texts found are dealt out again, since they may lie in few files.
-    """
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    number = documents.agg(F.count("*").alias("n")).scalar()
+def with_document(spark: SparkSession, sf_dir: str, some_posts: DataFrame, documents: DataFrame):
+    """Add the columns of ``documents``: those of the document the post's number falls on."""
+    number = table(spark, sf_dir, "documents").agg(F.count("*").alias("n")).scalar()
     numbered = some_posts.withColumn("doc_id", F.col("id").cast("bigint") % number)
-    if max_rows is None or max_rows > BROADCAST_ROWS:
-        return documents.join(numbered, "doc_id").drop("doc_id")
-    found = documents.join(F.broadcast(numbered), "doc_id").drop("doc_id")
-    return found.repartition(spark.sparkContext.defaultParallelism, "id")
+    return documents.join(numbered, "doc_id").drop("doc_id")
 
 
-def sample_size(spark: SparkSession, sf_dir: str, cap: int = MAX_PER_DAY) -> int:
-    """The most rows a sample of ``cap`` posts per day can have."""
-    return cap * posts(spark, sf_dir).select("date").distinct().count()
+def with_text(spark: SparkSession, sf_dir: str, some_posts: DataFrame) -> DataFrame:
+    """Add ``text`` to posts."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_document(spark, sf_dir, some_posts, documents)
 
 
 def _daily_ohlc(trades: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,6 +70,7 @@ def ticker_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as the posts of a long history."""
     return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("id"),
         F.to_date("l_shipdate").alias("date"),
         F.col("l_linenumber").alias("retweets"),
         F.col("l_quantity").cast("int").alias("favorites"),

@@ -82,9 +82,15 @@ def test_null_price_gives_null_label(spark, mode):
     ]
 
 
-def test_weekend_price_counts_as_next_day_too(spark):
+def test_weekend_prices_are_left_out(spark):
     df = ops.next_day_label(prices(spark, (day(5), 10.0), (day(6), 9.0), (day(8), 11.0)))
-    assert sorted(labels(df)) == [(5, 10.0, 9.0, 0.0), (5, 10.0, 11.0, 1.0)]
+    assert labels(df) == [(5, 10.0, 11.0, 1.0)]
+
+
+def test_two_prices_for_one_day_are_an_error(spark):
+    df = ops.next_day_label(prices(spark, (day(8), 10.0), (day(8), 9.0), (day(9), 11.0)))
+    with pytest.raises(Exception, match="two prices for 2024-01-08"):
+        df.collect()
 
 
 def test_labels_per_ticker(spark):
@@ -315,6 +321,39 @@ def test_all_plans_agree_with_the_contract(spark, batch):
         assert got == expected
 
 
+def test_repeated_and_null_ids_change_no_score(spark):
+    texts = ["up up", "down down.", "up up", "day", None, "down down."]
+    rows = [(i, t) for i, t in zip(["a", "a", "a", None, None, None], texts, strict=True)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    lexicon = {"up": 2, "down": -2}
+    expected = sorted(
+        (str(i), str(t), str(None if t is None else python_score(t, lexicon))) for i, t in rows
+    )
+    for options in ({}, {"inline_limit": 0}, {"inline_limit": 0, "broadcast_limit": 0}):
+        scored = ops.score(df, lexicon, **options).collect()
+        assert sorted((str(r.id), str(r.text), str(r.sentiment)) for r in scored) == expected
+
+
+def test_thousands_of_polarities(spark):
+    lexicon = {f"w{i}": i - 2500 for i in range(5000)}
+    df = spark.createDataFrame([("1", "w4999 day"), ("2", "w0 day"), ("3", "x")], "id string, text string")
+    got = {r.id: r.sentiment for r in ops.score(df, lexicon).collect()}
+    assert got == {"1": 1.0, "2": -1.0, "3": 0.0}
+
+
+def test_texts_cross_no_exchange_for_their_scores(spark):
+    df = spark.range(5).selectExpr("cast(id as string) AS id", "concat('up ', id) AS text")
+    scored = ops.score(df, LEXICON, inline_limit=0, broadcast_limit=0).select("id", "sentiment")
+    for line in physical_plan(scored).splitlines():
+        if "Exchange hash" in line:
+            assert "text" not in line
+
+
+def test_accuracy_counts_missing_predictions_as_misses(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (1.0, None), (0.0, None)], "label double, prediction double")
+    assert ops.accuracy(df).first()[0] == pytest.approx(1 / 3)
+
+
 def test_null_text_has_no_sentiment(spark):
     df = spark.createDataFrame([("1", None), ("2", "")], "id string, text string")
     for options in ({}, {"inline_limit": 0}):

@@ -146,9 +146,19 @@ def test_vectors_are_scaled(spark, labeled, vectorizer):
     assert (low, high) == (0.0, pytest.approx(1.0))
 
 
-def test_vocabulary_is_limited(labeled):
-    with pytest.raises(ValueError, match="min_count"):
-        plans.fit_vectorizer(labeled, max_vocabulary=3)
+def test_features_do_not_follow_the_partitioning(labeled):
+    from pyspark.ml.functions import vector_to_array
+
+    def first(df):
+        made = plans.fit_vectorizer(df, size=4, num_partitions=2).transform(df)
+        return sorted((r.id, *r.v) for r in made.select("id", vector_to_array("features").alias("v")).collect())
+
+    assert first(labeled.repartition(2)) == first(labeled.repartition(7))
+
+
+def test_training_rows_are_bounded(labeled):
+    assert mood._training_rows(labeled, 3, 7).count() == 7
+    assert mood._training_rows(labeled, 3).rdd.getNumPartitions() == 3
 
 
 def test_mood_ensemble(spark, labeled, vectorizer):
@@ -170,6 +180,7 @@ def test_mood_ensemble(spark, labeled, vectorizer):
         "prediction",
     ]
     assert scored.count() == 50
+    assert plans.score_moods(posts, models).count() == posts.count()
     hits = scored.join(labeled.select("id", "label"), "id").filter("label = prediction").count()
     assert hits >= 40
 

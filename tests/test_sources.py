@@ -218,6 +218,7 @@ def test_read_labeled_posts(spark, tmp_path):
         record("6", "negative", ""),
         record("7a", "negative", "bad id"),
         record("8", "positive", '"two\nlines"'),
+        record("9", "positive", '"say ""hi"", ok"'),
     ]
     path = tmp_path / "labeled.csv"
     path.write_text("\n".join(lines) + "\n")
@@ -231,10 +232,7 @@ def test_read_labeled_posts(spark, tmp_path):
         "4": (1.0, "what"),
         "5": (1.0, "no mood"),
     }
-    assert {k: got[k] for k in expected} == expected
-    assert set(got) - set(expected) <= {"8"}
-    whole = sources.read_labeled_posts(spark, str(path), multi_line=True)
-    assert {r.id: r.text for r in whole.collect()}["8"] == "two\nlines"
+    assert got == expected | {"8": (2.0, "two\nlines"), "9": (2.0, 'say "hi", ok')}
 
 
 def test_conform(spark):
