@@ -150,7 +150,7 @@ def test_features_do_not_follow_the_partitioning(labeled):
     from pyspark.ml.functions import vector_to_array
 
     def first(df):
-        made = plans.fit_vectorizer(df, size=4, num_partitions=2).transform(df)
+        made = plans.fit_vectorizer(df, size=4).transform(df)
         return sorted((r.id, *r.v) for r in made.select("id", vector_to_array("features").alias("v")).collect())
 
     assert first(labeled.repartition(2)) == first(labeled.repartition(7))
