@@ -98,6 +98,25 @@ def test_line_dedup_is_exact(spark, texts):
     rows = list(enumerate(texts))
     report = line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert {r.doc_id: r.removed_lines for r in report.collect()} == brute_lines(rows)
+    short = line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id bigint, text string"), links=False)
+    assert {r.doc_id: r.removed_lines for r in short.collect()} == brute_lines(rows)
+
+
+def test_near_copies_find_an_early_match_without_all_pairs(spark):
+    words = [f"w{i}" for i in range(20)]
+    texts = [" ".join(words[:i] + [f"x{n}"] + words[i + 1 :]) for n, i in enumerate(k % 20 for k in range(200))]
+    texts += [" ".join(words[:18] + [f"y{n}", f"z{n}"]) for n in range(50)] + ["a b c", "a b d"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lines = line_dedup._lines(docs)
+    ordered = F.sort_array("words")
+    lines = lines.select("*", F.xxhash64(ordered).alias("k1"), F.xxhash64(F.lit(1), ordered).alias("k2"))
+    found = line_dedup.earlier_matches(lines, line_dedup._classes(lines, line_dedup._levels(lines)))
+    sets = [set(text.split()) for text in texts]
+    links = sum(5 * len(a & b) >= 4 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert found.count() < links / 5
+    gone = line_dedup.dedup_report(docs, links=False)
+    assert {r.doc_id: r.removed_lines for r in gone.collect()} == brute_lines(rows)
 
 
 def test_line_dedup_keeps_rows_and_columns(awkward, empty):
