@@ -44,6 +44,13 @@ def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy("reject_reason").agg(F.count("*").alias("rows"))
 
 
+def read_raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the lines as raw files, then read and parse these."""
+    path = shared_dir(spark, "raw-files")
+    views.raw_lines(spark, sf_dir).write.text(path)
+    return sources.accepted_posts(sources.parse_posts(sources.read_raw_posts(spark, path)))
+
+
 def dedupe_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.table(spark, sf_dir, "lineitem")
     return ops.dedupe(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
@@ -53,6 +60,15 @@ def labeled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.label_posts(views.mood_rows(spark, sf_dir), mood="mood")
 
 
+def labeled_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the labelled documents as CSV files, line breaks and quotes included, then read these."""
+    path = shared_dir(spark, "labeled-files")
+    views.mood_file(spark, sf_dir).write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return sources.read_labeled_posts(spark, path)
+
+
 def class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.class_balance(labeled_corpus(spark, sf_dir))
 
@@ -64,6 +80,13 @@ def daily_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.prices(spark, sf_dir)
 
 
+def read_price_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the daily prices as CSV files with a header, then read these."""
+    path = shared_dir(spark, "price-files")
+    views.prices(spark, sf_dir).write.csv(path, header=True)
+    return sources.read_prices(spark, path)
+
+
 def trading_day_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = ops.trading_days(views.posts(spark, sf_dir))
     return days.select("id", "date", "retweets", "favorites")
@@ -155,6 +178,25 @@ def sentiment_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "sentiment")
 
 
+def _scores_by_id(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    """Posts per id and sentiment, where 50 ids, one of them null, are shared by all documents."""
+    shared = _documents(spark, sf_dir).withColumn("id", F.nullif(F.col("doc_id") % 50, F.lit(0)))
+    scored = ops.score(shared.drop("doc_id"), views.LEXICON, **limits)
+    return scored.groupBy("id", "sentiment").agg(F.count("*").alias("posts"))
+
+
+def shared_ids_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores_by_id(spark, sf_dir)
+
+
+def shared_ids_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores_by_id(spark, sf_dir, inline_limit=0)
+
+
+def shared_ids_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores_by_id(spark, sf_dir, inline_limit=0, broadcast_limit=0)
+
+
 def score_with_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = dict(views.LEXICON)
 
@@ -227,6 +269,14 @@ def price_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.price_per_day(views.prices(spark, sf_dir))
 
 
+def export_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export a report series as CSV, then read it back."""
+    path = shared_dir(spark, "series")
+    series = price_per_day(spark, sf_dir)
+    sources.write_series(series, path, "csv")
+    return spark.read.csv(path, schema=series.schema, header=True)
+
+
 def normalized_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     overlay = plans.normalized_overlay(views.posts(spark, sf_dir), views.prices(spark, sf_dir))
     return overlay.withColumn("z", F.round("z", 6))
@@ -301,10 +351,10 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-validated recall of the direction forest."""
+    """Cross-validated recall of the direction forest; whether it is a share, as all checks of models."""
     result = plans.cross_validate(_history(spark, sf_dir))
-    folds = len(result.avgMetrics) and result.getNumFolds()
-    return spark.createDataFrame([(float(result.avgMetrics[0]), folds)], "mean_recall double, folds int")
+    recall = float(result.avgMetrics[0])
+    return spark.createDataFrame([(0 <= recall <= 1, result.getNumFolds())], "is_share boolean, folds int")
 
 
 def cv_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,24 +370,27 @@ def cv_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = _history(spark, sf_dir)
     scored = plans.forest().fit(history).transform(history)
-    return scored.select("date", "label", "prediction")
+    return scored.select("date", "label", F.col("prediction").isin(0.0, 1.0).alias("in_classes"))
 
 
-def _vectors(features: DataFrame) -> DataFrame:
+def word2vec_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimensions of each labelled post's vector, and whether all of them are in 0..1."""
     from pyspark.ml.functions import vector_to_array
 
-    return features.withColumn("features", vector_to_array("features"))
-
-
-def word2vec_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = plans.word2vec_features(labeled_corpus(spark, sf_dir))
-    return _vectors(features).select("id", "label", "features")
+    vectors = features.withColumn("vector", vector_to_array("features"))
+    return vectors.select(
+        "id",
+        "label",
+        F.size("vector").alias("dimensions"),
+        ((F.array_min("vector") >= 0) & (F.array_max("vector") <= 1)).alias("in_range"),
+    )
 
 
 def _fit_and_score(spark: SparkSession, sf_dir: str, estimator, prediction: str) -> DataFrame:
     features = plans.word2vec_features(labeled_corpus(spark, sf_dir))
     scored = estimator.fit(features.select("label", "features")).transform(features)
-    return scored.select("id", "label", F.col(prediction).alias("prediction"))
+    return scored.select("id", "label", F.col(prediction).isin(0.0, 1.0, 2.0).alias("in_classes"))
 
 
 def fit_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,19 +402,28 @@ def fit_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ensemble_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every post with its text, and whether its mood is the majority of the three models, or 1 without one."""
     models = plans.fit_mood_models(labeled_corpus(spark, sf_dir))
     posts = views.posts(spark, sf_dir).select("date", "id")
-    return plans.score_moods(views.with_text(spark, sf_dir, posts), models)
+    moods = plans.score_moods(views.with_text(spark, sf_dir, posts), models)
+    votes = F.array(*VOTES)
+    most = F.array_max(F.transform(votes, lambda v: F.size(F.filter(votes, lambda w: w == v))))
+    own = F.size(F.filter(votes, lambda v: v == F.col("prediction")))
+    is_majority = F.when(most > 1, own == most).otherwise(F.col("prediction") == 1)
+    return moods.select("date", "id", "text", is_majority.alias("is_majority"))
 
 
 QUERIES = (
     parse_raw_posts,
+    read_raw_files,
     parse_document_posts,
     reject_report,
     dedupe_posts,
     labeled_corpus,
+    labeled_file,
     class_balance,
     daily_ohlc,
+    read_price_file,
     trading_day_posts,
     daily_activity,
     next_day_label_calendar,
@@ -377,6 +439,9 @@ QUERIES = (
     labeled_sentiment,
     sentiment_broadcast,
     sentiment_salted,
+    shared_ids_inline,
+    shared_ids_broadcast,
+    shared_ids_salted,
     score_with_plugin,
     daily_sentiment,
     daily_sentiment_capped,
@@ -384,6 +449,7 @@ QUERIES = (
     load_or_build,
     posts_per_day,
     price_per_day,
+    export_series,
     normalized_overlay,
     step_counts,
     fold_assignment,

@@ -139,6 +139,10 @@ FROM {source}, (SELECT avg({value}) AS mean, stddev_samp({value}) AS sd FROM {so
 FEATURES_FULL = f"""WITH {POSTS}, {ACTIVITY}, {PRICES}, {LABELS}, {SENTIMENT}
 SELECT * FROM activity JOIN labels_by_day USING (date) JOIN sentiment_by_day USING (date)"""
 
+SHARED_IDS = f"""WITH {_totals("documents", "doc_id")}
+SELECT nullif(doc_id % 50, 0) AS id, {_bucket(-1, 0, 1)} AS sentiment, count(*) AS posts
+FROM documents LEFT JOIN totals USING (doc_id) GROUP BY ALL"""
+
 ORACLE = {
     "parse_raw_posts": f"""
 SELECT CAST(user_id AS VARCHAR) AS username, date_trunc('minute', ts) AS timestamp,
@@ -208,6 +212,18 @@ SELECT id, label, {_bucket(0, 1, 2)} AS sentiment FROM corpus LEFT JOIN totals U
     "score_with_plugin": _document_sentiment(-1, 0, 1),
     "daily_sentiment": f"WITH {POSTS}, {SENTIMENT} SELECT * FROM sentiment_by_day",
     "daily_sentiment_capped": f"WITH {POSTS}, {CAPPED_SENTIMENT} SELECT * FROM sentiment_by_day",
+    **dict.fromkeys(("shared_ids_inline", "shared_ids_broadcast", "shared_ids_salted"), SHARED_IDS),
+    "cv_forest": "SELECT true AS is_share, CAST(10 AS INTEGER) AS folds",
+    "fit_forest": f"""
+WITH posts AS (SELECT CAST(l_shipdate AS DATE) AS date, 0 AS retweets, 0 AS favorites FROM lineitem),
+{ACTIVITY}, {ORDER_PRICES}, {LABELS}
+SELECT date, label, true AS in_classes FROM activity JOIN labels_by_day USING (date)""",
+    "word2vec_features": f"""WITH {CORPUS}
+SELECT id, label, CAST(50 AS INTEGER) AS dimensions, true AS in_range FROM corpus""",
+    **dict.fromkeys(("fit_mlp", "fit_nb"), f"WITH {CORPUS} SELECT id, label, true AS in_classes FROM corpus"),
+    "ensemble_predictions": f"""WITH {POSTS}
+SELECT date, id, text, true AS is_majority
+FROM posts JOIN documents ON doc_id = event_id % (SELECT count(*) FROM documents)""",
     "cv_direction": "SELECT true AS is_share, CAST(10 AS INTEGER) AS folds",
     "features_full": FEATURES_FULL,
     "load_or_build": FEATURES_FULL,
@@ -244,3 +260,11 @@ per_label AS (
 per_fold AS (SELECT fold, sum(n * recall) / sum(n) AS recall FROM per_label GROUP BY fold)
 SELECT round(avg(recall), 9) AS mean_recall, count(*) AS folds FROM per_fold""",
 }
+
+# Files that are written and read again hold what went into them.
+ORACLE |= {
+    "read_raw_files": ORACLE["parse_raw_posts"],
+    "labeled_file": ORACLE["labeled_corpus"],
+    "read_price_file": ORACLE["daily_ohlc"],
+    "export_series": ORACLE["price_per_day"],
+}

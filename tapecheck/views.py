@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdtape.functions.dates import is_trading_day
+from crowdtape.sources.labeled import COLUMNS
 from crowdtape.sources.raw_posts import HEADER
 
 # Tokens frequent in the given documents, spread over all polarities.
@@ -102,6 +103,14 @@ def mood_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mood_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents in the columns of the labelled file."""
+    known = {"tweet_id": "id", "airline_sentiment": "mood", "text": "text"}
+    columns = [F.col(known[c]) if c in known else F.lit(None).cast("string") for c in COLUMNS]
+    rows = mood_rows(spark, sf_dir)
+    return rows.select(*(value.alias(name) for name, value in zip(COLUMNS, columns, strict=True)))
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in predictions: a label and three votes per event, from its fields."""
     n = F.col("event_id")
