@@ -20,6 +20,8 @@ from crowdtape.llm.common import table
 BUCKETS = 1 << 12
 #: Training rows of each language at most: those of the smallest hashes.
 ROWS_PER_LANGUAGE = 256
+#: Shares of a language's rows that are ranked apart before the whole language is.
+SHARES = 64
 #: Bytes of a text that are counted at a time, which bounds memory.
 SPAN = 1 << 20
 #: Codewords of more than this many languages are drawn instead of enumerated.
@@ -113,10 +115,13 @@ def fit(docs: DataFrame) -> dict | None:
 
     known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     key = F.xxhash64("text")
-    # The narrow rank drops all but the first rows of a language in each task before it shuffles.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    narrow = known.select("lang", key.alias("key"))
-    last = narrow.distinct().withColumn("rank", rank).where(F.col("rank") <= ROWS_PER_LANGUAGE)
+    # The narrow rank drops all but the first rows of a language in each task before it shuffles,
+    # and all but those of each share before a language meets in one task.
+    share = Window.partitionBy("lang", F.pmod("key", F.lit(SHARES))).orderBy("key")
+    whole = Window.partitionBy("lang").orderBy("key")
+    last = known.select("lang", key.alias("key")).distinct()
+    for rows in (share, whole):
+        last = last.withColumn("rank", F.row_number().over(rows)).where(F.col("rank") <= ROWS_PER_LANGUAGE)
     limits = {r["lang"]: r["most"] for r in last.groupBy("lang").agg(F.max("key").alias("most")).collect()}
     if not limits:
         return None
