@@ -214,7 +214,17 @@ def calibrate(scores, good, default: float = DEFAULT_THRESHOLD) -> float:
 
 
 def _sampled(df: DataFrame, key: Column, bound: int) -> DataFrame:
-    """At most ``bound`` rows, those with the smallest hash."""
+    """At most ``bound`` rows, those with the smallest hash.
+
+    A sort with a limit sends ``bound`` rows of each task to the driver. So hashes
+    that are too large to count are left out first, in a share that still leaves enough.
+    """
+    share = 4 * bound / max(df.count(), 1)
+    while share < 1:
+        few = df.where(key < F.lit(int(share * 2**64) - 2**63))
+        if few.count() >= bound:
+            return few.orderBy(key).limit(bound)
+        share *= 4
     return df.orderBy(key).limit(bound)
 
 
@@ -236,12 +246,13 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     counted = rule_statistics(docs.withColumn("doc_id", F.col("doc_id").cast("long")), keep)
     counted = stored(counted.select("row", *names), "statistics")
     fit_on = counted.where(~base_failed())
-    sample = _sampled(fit_on.select(*names), F.xxhash64(*names), SAMPLE_ROWS).toPandas()
+    sample = _sampled(fit_on, F.xxhash64("row.doc_id", *names), SAMPLE_ROWS).select(*names).toPandas()
     marked = labels.where("quality IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("labelled"), (F.col("quality") > 0).alias("good")
     )
-    known = fit_on.join(marked, F.col("row.doc_id") == F.col("labelled")).select("good", *names)
-    known = _sampled(known, F.xxhash64(*names, "good"), LABELLED_ROWS).toPandas()
+    known = fit_on.join(marked, F.col("row.doc_id") == F.col("labelled")).select("labelled", "good", *names)
+    known = stored(known, "labelled")
+    known = _sampled(known, F.xxhash64("labelled", "good", *names), LABELLED_ROWS).select("good", *names).toPandas()
     forest, threshold = None, DEFAULT_THRESHOLD
     if len(sample):
         marked_rows = feature_matrix(known[names].to_numpy().T)

@@ -309,6 +309,16 @@ def test_statistics_are_those_of_the_definitions(text):
     assert anomaly.text_statistics(text)[:5] == expected
 
 
+@pytest.mark.parametrize("bound", [1, 50, 999, 2000])
+def test_samples_are_the_smallest_hashes(spark, bound):
+    rows = spark.range(1000).withColumn("n", F.col("id") % 7)
+    got = anomaly._sampled(rows, F.xxhash64("id"), bound)
+    assert got.collect() == rows.orderBy(F.xxhash64("id")).limit(bound).collect()
+    # All rows of one value have one hash, which the first share may miss.
+    assert anomaly._sampled(rows, F.xxhash64("n"), bound).count() == min(bound, 1000)
+    assert anomaly._sampled(rows.limit(0), F.xxhash64("n"), bound).count() == 0
+
+
 def test_forest_tells_junk_from_labelled_good(spark, sf_dir, awkward, empty):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
