@@ -388,8 +388,10 @@ def word2vec_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit_and_score(spark: SparkSession, sf_dir: str, estimator, prediction: str) -> DataFrame:
-    features = plans.word2vec_features(labeled_corpus(spark, sf_dir))
-    scored = estimator.fit(features.select("label", "features")).transform(features)
+    """The model is fitted on bounded rows and scores all labelled posts."""
+    labeled = labeled_corpus(spark, sf_dir)
+    models = plans.fit_mood_models(labeled, classifiers=(estimator,))
+    scored = models.classifiers[0].transform(models.vectorizer.transform(labeled))
     return scored.select("id", "label", F.col(prediction).isin(0.0, 1.0, 2.0).alias("in_classes"))
 
 

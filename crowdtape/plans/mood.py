@@ -118,8 +118,8 @@ def fit_vectorizer(
 
 
 def word2vec_features(labeled: DataFrame, **options: int) -> DataFrame:
-    """Labelled posts with their own ``features``."""
-    return fit_vectorizer(labeled, **options).transform(_training_rows(labeled))
+    """All labelled posts with their own ``features``; only the fit is on bounded rows."""
+    return fit_vectorizer(labeled, **options).transform(labeled)
 
 
 def _outputs(model: str) -> dict[str, str]:
@@ -162,14 +162,16 @@ def fit_mood_models(
     labeled: DataFrame,
     vectorizer: Vectorizer | None = None,
     classifiers: tuple[Estimator, ...] | None = None,
+    max_rows: int = MAX_TRAINING_ROWS,
 ) -> MoodModels:
-    """Fit forest, perceptron and naive Bayes on labelled posts.
+    """Fit forest, perceptron and naive Bayes on at most ``max_rows`` labelled posts.
 
     The vectors are kept in memory or on disk while the three models, which
     pass over them many times, are fitted.
     """
-    vectorizer = vectorizer or fit_vectorizer(labeled)
-    training = vectorizer.transform(_training_rows(labeled)).select("label", "features")
+    vectorizer = vectorizer or fit_vectorizer(labeled, max_rows=max_rows)
+    rows = _training_rows(labeled, max_rows=max_rows)
+    training = vectorizer.transform(rows).select("label", "features")
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         estimators = classifiers or (mood_forest(), perceptron(), naive_bayes())

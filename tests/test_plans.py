@@ -161,6 +161,26 @@ def test_training_rows_are_bounded(labeled):
     assert mood._training_rows(labeled, 3).rdd.getNumPartitions() == 3
 
 
+def test_features_and_scores_cover_more_rows_than_the_fit(spark, labeled):
+    made = plans.word2vec_features(labeled, size=4, max_rows=7)
+    assert made.count() == labeled.count() and made.select("id").distinct().count() == 60
+    models = plans.fit_mood_models(labeled, classifiers=(plans.naive_bayes(),), max_rows=7)
+    scored = models.classifiers[0].transform(models.vectorizer.transform(labeled))
+    assert scored.where("bayes_prediction IN (0, 1, 2)").count() == labeled.count()
+
+
+def test_model_queries_return_more_rows_than_they_fit_on(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    rows = [(float(n % 3), f"word{n % 3} and {n}", str(n)) for n in range(60)]
+    df = spark.createDataFrame(rows, "label double, text string, id string")
+    bounded = mood._training_rows
+    monkeypatch.setattr(mood, "_training_rows", lambda df, partitions=2, max_rows=7: bounded(df, partitions, min(max_rows, 7)))
+    monkeypatch.setattr(entry, "labeled_corpus", lambda spark, sf_dir: df)
+    for query in (entry.word2vec_features, entry.fit_nb):
+        assert query(spark, "").count() == 60
+
+
 def test_mood_ensemble(spark, labeled, vectorizer):
     estimators = (
         mood.mood_forest(num_trees=5),
