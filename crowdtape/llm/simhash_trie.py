@@ -37,13 +37,16 @@ STEP = 1 << 15
 # --- fingerprints --------------------------------------------------------------
 
 
-def fingerprint(text: str, size: int = SHINGLE) -> int:
-    """Majority of the shingles' hash bits; 0 for a text without words."""
+def shingles(text: str, size: int = SHINGLE) -> tuple[bytes, np.ndarray]:
+    """The words of a text in lower case, one blank between them, and the hashes of its shingles.
+
+    A text with fewer than ``size`` words is one shingle, one without words has none.
+    """
     import xxhash
 
     words = text.translate(LOWER).encode().split()
     if not words:
-        return 0
+        return b"", np.zeros(0, np.uint64)
     count = max(1, len(words) - size + 1)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     data = b" ".join(words)
@@ -52,15 +55,24 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
     digest = xxhash.xxh64_intdigest
     view = memoryview(data)
     pairs = zip(starts[:count].tolist(), ends, strict=True)
-    hashes = np.fromiter((digest(view[a:b], SEED) for a, b in pairs), np.uint64, count)
+    return data, np.fromiter((digest(view[a:b], SEED) for a, b in pairs), np.uint64, count)
+
+
+def majority(hashes) -> int:
+    """Majority of the hashes' bits; 0 without any."""
     votes = np.zeros(BITS, np.int64)
-    for at in range(0, count, STEP):
+    for at in range(0, len(hashes), STEP):
         part = hashes[at : at + STEP].view(np.uint8).reshape(-1, 8)
         votes += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    set_bits = np.packbits(votes * 2 > count, bitorder="little")
+    set_bits = np.packbits(votes * 2 > len(hashes), bitorder="little")
     return int(set_bits.view("<u8")[0])
 
 
+def fingerprint(text: str, size: int = SHINGLE) -> int:
+    """Majority of the shingles' hash bits; 0 for a text without words."""
+    return majority(shingles(text, size)[1])
+
+
 def fingerprints(docs: DataFrame, keep: list[str], size: int = SHINGLE) -> DataFrame:
     """``row`` (columns ``keep``) and ``fp``, the fingerprint as a signed long."""
 
@@ -187,7 +199,15 @@ def links(distinct: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> Data
         )
     )
     rows = distinct.select("fp", F.inline(rotations))
-    rows = stored(rows, "trie-rows")
+    return walk(stored(rows, "trie-rows"), blocks, budget, chunk)
+
+
+def walk(rows: DataFrame, blocks: list[tuple[int, int]], budget: int, chunk: int) -> DataFrame:
+    """``a, b``: spanning links of the fingerprints ``fp`` under each ``block, top`` of ``rows``.
+
+    A block's start and width are its place in ``blocks``; fingerprints under one top
+    are distinct and agree in that many bits.
+    """
     crowded = rows.groupBy("block", "top").count().where(F.col("count") > chunk)
     chunks = crowded.select("block", "top", F.ceil(F.col("count") / chunk).cast("int").alias("chunks"))
     dealt = rows.join(chunks, ["block", "top"], "left").fillna(1, ["chunks"])

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from compare import compare, connect
-from crowdtape.llm import anomaly, chat, decontaminate, langid, line_dedup, packing, queries, separators
+from crowdtape.llm import anomaly, chat, decontaminate, langid, line_dedup, near_dedup, packing, queries, separators
 from crowdtape.llm import simhash_trie, sql, url_cascade, warc
 from crowdtape.llm.separators import tokenizer_path
 
@@ -252,6 +252,54 @@ def test_near_duplicates_with_awkward_rows(awkward, empty):
     assert simhash_trie.near_duplicates(empty, ["doc_id"]).count() == 0
 
 
+def brute_components(rows):
+    """Smallest id of each document's component, by five-word shingles and similarity 0.8."""
+    def shingles(text):
+        words = text.split()
+        return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+    sets = {d: shingles(t) for d, t in rows}
+    root = {d: d for d in sets}
+    find = lambda d: d if root[d] == d else find(root[d])
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {d: find(d) for d in sets}
+
+
+@pytest.mark.parametrize("chunk", [near_dedup.CLUSTER_CHUNK, 3])
+def test_near_dedup_finds_all_similar_texts(spark, monkeypatch, chunk):
+    monkeypatch.setattr(near_dedup.similar_components, "__defaults__", (chunk,))
+    rng = np.random.default_rng(5)
+    rows = []
+    for base in range(12):
+        words = [f"w{n}" for n in rng.integers(0, 5000, 30 + 20 * base)]
+        for _ in range(8):
+            copy = list(words)
+            for at in rng.integers(0, len(copy), rng.integers(0, 2 + len(copy) // 30)):
+                copy[at] = f"x{rng.integers(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows), "too short"), (len(rows) + 1, "too  short"), (len(rows) + 2, "too long")]
+    expected = brute_components(rows)
+    assert len(set(expected.values())) < len(rows) - 20
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = near_dedup.near_components(docs).select("row.doc_id", "component_id").collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+    import corpus_pipeline
+
+    kept = corpus_pipeline.near_deduplication(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
+
+
+def test_near_dedup_with_awkward_rows(awkward, empty):
+    got = near_dedup.near_components(awkward).collect()
+    assert len(got) == len(AWKWARD)
+    assert {r.component_id for r in got if not (r.row.text or "").split()} == {2}
+    assert near_dedup.near_components(empty).count() == 0
+
+
 # --- 7: warc -----------------------------------------------------------------------------------
 
 
