@@ -17,9 +17,13 @@ from pyspark.sql import functions as F
 
 from crowdtape.llm.common import stored, table
 
-#: Bound of the rows the trees are drawn from, and of the labelled rows for the threshold.
-SAMPLE_ROWS = 20_000
+#: Bounds of the labelled rows the trees are drawn from, and of the rows that replace them where no good row is labelled.
 LABELLED_ROWS = 20_000
+SAMPLE_ROWS = 20_000
+#: Bad rows among those of the trees, as a share of the good ones and besides it: without any, junk lies in no tree's range.
+BAD_SHARE, LEAST_BAD = 0.03, 4
+#: Parts into which each pass of the search for a rank cuts the range of scores.
+RANK_PARTS = 1024
 #: Trees, and rows of each.
 TREES = 256
 TREE_ROWS = 128
@@ -198,19 +202,35 @@ def fit_forest(rows, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int =
     return forest
 
 
-def calibrate(scores, good, default: float = DEFAULT_THRESHOLD) -> float:
-    """Threshold that rejects most bad rows while losing at most ``MAX_FALSE_REJECTS`` of the good."""
-    import numpy as np
+def ranked_score(rows: DataFrame, rank: int) -> float:
+    """The ``rank``-th largest ``anomaly`` (from 0) of ``rows``, exact, by counts of narrowing ranges."""
+    ends = rows.agg(F.min("anomaly"), F.max("anomaly")).first()
+    low, high = ends
+    while low < high:
+        part = F.floor((F.col("anomaly") - low) / (high - low) * RANK_PARTS)
+        part = F.least(part, F.lit(RANK_PARTS - 1)).alias("part")
+        inside = rows.where(F.col("anomaly").between(low, high)).groupBy(part)
+        counts = inside.agg(F.count("*").alias("n"), F.min("anomaly").alias("low"), F.max("anomaly").alias("high"))
+        for found in sorted(counts.collect(), key=lambda r: -r.part):
+            if rank < found.n:
+                low, high = found.low, found.high
+                break
+            rank -= found.n
+    return low
+
 
-    scores, good = np.asarray(scores), np.asarray(good, bool)
-    if not good.any() or good.all():
+def calibrate(scored: DataFrame, default: float = DEFAULT_THRESHOLD) -> float:
+    """Threshold on ``anomaly`` that rejects most bad rows while losing at most ``MAX_FALSE_REJECTS`` of the good.
+
+    All rows of ``scored(good, anomaly)`` count.
+    """
+    sizes = {r.good: r["count"] for r in scored.groupBy("good").count().collect()}
+    if len(sizes) < 2:
         return default
-    clean = np.sort(scores[good])
-    allowed = int(MAX_FALSE_REJECTS * len(clean))
-    least = clean[-1 - allowed]
+    least = ranked_score(scored.where("good"), int(MAX_FALSE_REJECTS * sizes[True]))
     # Halfway to the next rejected row, so that rows just like the clean ones stay.
-    above = scores[~good & (scores > least)]
-    return float((least + above.min()) / 2) if len(above) else float(least)
+    above = scored.where(~F.col("good") & (F.col("anomaly") > least)).agg(F.min("anomaly")).first()[0]
+    return float(least if above is None else (least + above) / 2)
 
 
 def _sampled(df: DataFrame, key: Column, bound: int) -> DataFrame:
@@ -235,36 +255,31 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     base rules. ``labels(doc_id, quality)`` calibrates: null labels and ids are left
     out, a document with several labels counts once with each; without good and bad
     rows the threshold is ``DEFAULT_THRESHOLD``. The trees come from at most
-    ``SAMPLE_ROWS`` rows and the threshold from at most ``LABELLED_ROWS``, both the
-    rows of the smallest hashes; statistics and scores cover every row. Repeated
-    rows get equal results; other columns of ``docs`` are ignored unless kept.
+    ``LABELLED_ROWS`` labelled rows of the smallest hashes, the good ones and few bad
+    ones (where none is good, from at most ``SAMPLE_ROWS`` of any rows); the threshold
+    covers all labelled rows, statistics and scores every row. Repeated rows get equal results; other columns of ``docs`` are ignored unless kept.
     """
-    import numpy as np
-
     spark = docs.sparkSession
     names = _statistic_names()
     counted = rule_statistics(docs.withColumn("doc_id", F.col("doc_id").cast("long")), keep)
     counted = stored(counted.select("row", *names), "statistics")
     fit_on = counted.where(~base_failed())
-    sample = _sampled(fit_on, F.xxhash64("row.doc_id", *names), SAMPLE_ROWS).select(*names).toPandas()
     marked = labels.where("quality IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("labelled"), (F.col("quality") > 0).alias("good")
     )
     known = fit_on.join(marked, F.col("row.doc_id") == F.col("labelled")).select("labelled", "good", *names)
     known = stored(known, "labelled")
-    known = _sampled(known, F.xxhash64("labelled", "good", *names), LABELLED_ROWS).select("good", *names).toPandas()
+    pool = _sampled(known, F.xxhash64("labelled", "good", *names), LABELLED_ROWS).select("good", *names).toPandas()
+    good = pool["good"].astype(bool)
+    pool = pd.concat([pool[good], pool[~good].head(LEAST_BAD + int(BAD_SHARE * good.sum()))])
+    if not good.any():
+        pool = _sampled(fit_on, F.xxhash64("row.doc_id", *names), SAMPLE_ROWS).select(*names).toPandas()
     forest, threshold = None, DEFAULT_THRESHOLD
-    if len(sample):
-        marked_rows = feature_matrix(known[names].to_numpy().T)
-        every = feature_matrix(sample[names].to_numpy().T)
-        good = known["good"].to_numpy(bool)
-        if good.any():  # mostly good rows, so that frequent junk does not pass for normal
-            pool = np.concatenate([marked_rows[good], every[: 1 + good.sum() // 2]])
-        else:
-            pool = every
-        forest = fit_forest(pool)
-        threshold = calibrate(forest.scores(marked_rows), good)
+    if len(pool):
+        forest = fit_forest(feature_matrix(pool[names].to_numpy().T))
     model = spark.sparkContext.broadcast(vars(forest) if forest else None)  # plain arrays
+    if forest:
+        threshold = calibrate(stored(_score(known, names, model).select("good", "anomaly"), "labelled-scores"))
 
     scored = _score(counted, names, model) if forest else counted.withColumn("anomaly", F.lit(0.0))
     failed = base_failed()
