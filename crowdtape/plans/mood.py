@@ -50,9 +50,23 @@ def _with_words(df: DataFrame) -> DataFrame:
 def _training_rows(
     labeled: DataFrame, partitions: int = PARTITIONS, max_rows: int = MAX_TRAINING_ROWS
 ) -> DataFrame:
-    """A bounded set of rows in one order and partitioning, whatever files and cores there are."""
+    """A bounded set of rows in one order and partitioning, whatever files and cores there are.
+
+    The bound is a cut through two hashes of each row, of which alone the smallest
+    meet in one task; the rows pass a filter. Rows with the hashes of the cut are
+    equal, so one of them is repeated as often as it takes.
+    """
     order = [F.xxhash64("text"), *labeled.columns]
-    bounded = labeled.orderBy(*order).limit(max_rows)
+    hashes = F.struct(F.xxhash64("text").alias("text"), F.xxhash64(*labeled.columns).alias("row"))
+    least = labeled.select(hashes.alias("h")).orderBy("h").limit(max_rows)
+    cut = least.groupBy("h").count().orderBy(F.desc("h")).first()
+    if cut is None:
+        bounded = labeled.limit(0)
+    else:
+        at = F.struct(F.lit(cut.h.text).cast("long").alias("text"), F.lit(cut.h.row).cast("long").alias("row"))
+        copies = F.explode(F.array_repeat(F.lit(0), cut["count"])).alias("_copy")
+        last = labeled.where(hashes == at).limit(1).select("*", copies).drop("_copy")
+        bounded = labeled.where(hashes < at).unionByName(last)
     return bounded.repartition(partitions, F.xxhash64("text")).sortWithinPartitions(*order)
 
 

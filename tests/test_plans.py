@@ -161,6 +161,17 @@ def test_training_rows_are_bounded(labeled):
     assert mood._training_rows(labeled, 3).rdd.getNumPartitions() == 3
 
 
+@pytest.mark.parametrize("bound", [1, 7, 59, 60, 100])
+def test_training_rows_are_the_smallest_hashes_without_a_sort_of_texts(labeled, bound):
+    twice = labeled.unionByName(labeled.limit(30))
+    got = mood._training_rows(twice, 3, bound)
+    smallest = sorted(r.h for r in twice.select(F.xxhash64("text").alias("h")).collect())[:bound]
+    assert sorted(r.h for r in got.select(F.xxhash64("text").alias("h")).collect()) == smallest
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "GlobalLimit 7" not in plan
+    assert mood._training_rows(labeled.limit(0), 3, bound).count() == 0
+
+
 def test_features_and_scores_cover_more_rows_than_the_fit(spark, labeled):
     made = plans.word2vec_features(labeled, size=4, max_rows=7)
     assert made.count() == labeled.count() and made.select("id").distinct().count() == 60
