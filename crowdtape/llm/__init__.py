@@ -1,4 +1,4 @@
-"""Operators of a training-data pipeline: one module for each of ten methods.
+"""Operators of a training-data pipeline: one module for each method.
 
 Nothing else in the library imports this package. ``queries`` and ``sql`` hold
 the registered queries over the given tables and their SQL twins.
