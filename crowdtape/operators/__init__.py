@@ -1,7 +1,7 @@
 """DataFrame operators: activity, labels, sampling, sentiment, scaling, folds, metrics."""
 
 from crowdtape.operators.activity import daily_activity, trading_days
-from crowdtape.operators.dedupe import dedupe
+from crowdtape.operators.dedupe import dedupe, dedupe_against, filter_blocks, key_filter, may_be_stored, merge_filters
 from crowdtape.operators.folds import fold_column
 from crowdtape.operators.labels import next_day_label
 from crowdtape.operators.metrics import accuracy, confusion, weighted_recall
@@ -9,17 +9,28 @@ from crowdtape.operators.normalize import zscore
 from crowdtape.operators.quality import class_balance, step_counts
 from crowdtape.operators.sampling import cap_per_group
 from crowdtape.operators.sentiment import score, score_with
+from crowdtape.operators.states import activity_of, daily_states, merge_states, moments_of, negated
 from crowdtape.operators.votes import join_predictions, vote
 
 __all__ = [
     "accuracy",
+    "activity_of",
     "cap_per_group",
     "class_balance",
     "confusion",
     "daily_activity",
+    "daily_states",
     "dedupe",
+    "dedupe_against",
+    "filter_blocks",
     "fold_column",
     "join_predictions",
+    "key_filter",
+    "may_be_stored",
+    "merge_filters",
+    "merge_states",
+    "moments_of",
+    "negated",
     "next_day_label",
     "score",
     "score_with",

@@ -2,7 +2,14 @@
 
 from crowdtape.plans.direction import assemble, cross_validate, forest
 from crowdtape.plans.features import build_features, daily_sentiment
-from crowdtape.plans.ingest import load_posts
+from crowdtape.plans.ingest import (
+    load_posts,
+    read_daily_activity,
+    read_daily_states,
+    read_posts,
+    read_rejected,
+    sync_posts,
+)
 from crowdtape.plans.jobs import direction_job, mood_job, report_job
 from crowdtape.plans.mood import (
     fit_mood_models,
@@ -30,7 +37,12 @@ __all__ = [
     "perceptron",
     "posts_per_day",
     "price_per_day",
+    "read_daily_activity",
+    "read_daily_states",
+    "read_posts",
+    "read_rejected",
     "report_job",
     "score_moods",
+    "sync_posts",
     "word2vec_features",
 ]

@@ -2,6 +2,7 @@
 
 from crowdtape.sources.labeled import label_posts, read_labeled_posts
 from crowdtape.sources.lexicon import read_lexicon
+from crowdtape.sources.manifest import content_hash, differences, input_files
 from crowdtape.sources.prices import read_prices
 from crowdtape.sources.raw_posts import (
     accepted_posts,
@@ -10,13 +11,26 @@ from crowdtape.sources.raw_posts import (
     rejected_lines,
     split_fields,
 )
-from crowdtape.sources.snapshot import is_complete, load_or_build, write_series
+from crowdtape.sources.snapshot import (
+    between_dates,
+    is_complete,
+    load_or_build,
+    month_of,
+    overwrite_partitions,
+    write_series,
+)
 
 __all__ = [
     "accepted_posts",
+    "between_dates",
+    "content_hash",
+    "differences",
+    "input_files",
     "is_complete",
     "label_posts",
     "load_or_build",
+    "month_of",
+    "overwrite_partitions",
     "parse_posts",
     "read_labeled_posts",
     "read_lexicon",
