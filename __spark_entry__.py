@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from crowdtape import functions as fx  # noqa: E402
 from crowdtape import operators as ops  # noqa: E402
 from crowdtape import plans, sources  # noqa: E402
-from crowdtape.session import shared_dir  # noqa: E402
+from crowdtape.session import counting_session, shared_dir  # noqa: E402
 from tapecheck import views  # noqa: E402
 from tapecheck.sql import ORACLE  # noqa: E402
 
@@ -51,6 +51,48 @@ def read_raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.accepted_posts(sources.parse_posts(sources.read_raw_posts(spark, path)))
 
 
+def _delivered_store(spark: SparkSession, sf_dir: str) -> str:
+    """A post store after a base and three deltas of raw files, brought up to date after each."""
+    raw, store = shared_dir(spark, "deliveries"), shared_dir(spark, "posts")
+    for lines in views.deliveries(spark, sf_dir):
+        lines.write.mode("append").text(raw)
+        plans.sync_posts(spark, raw, store)
+    return store
+
+
+def incremental_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.read_posts(spark, _delivered_store(spark, sf_dir))
+
+
+def stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of some days, from the folders of their months."""
+    store = _delivered_store(spark, sf_dir)
+    posts = plans.read_posts(spark, store, start="2023-12-10", end="2024-01-15")
+    return posts.select("id", "date", "retweets", "favorites")
+
+
+def incremental_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts and sums, the score of the count and the spread of the likes, from states the deltas updated."""
+    states = plans.read_daily_states(spark, _delivered_store(spark, sf_dir))
+    daily = ops.activity_of(states, ["sum_shares", "sum_likes"])
+    moments = ops.moments_of(states, ["sum_likes"]).select("date", F.round("sum_likes_sd", 6).alias("likes_sd"))
+    return ops.zscore(daily, "post_count").withColumn("z", F.round("z", 6)).join(moments, "date")
+
+
+def incremental_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sentiment from the states of one type of event after the other."""
+    path = shared_dir(spark, "sentiment-states")
+    posts = ops.trading_days(views.posts(spark, sf_dir).drop("username"))
+    kinds = views.table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), "event_type")
+    batches = [["view", "signup", "error"], ["click"], ["purchase"]]
+    for number, batch in enumerate(batches):
+        part = posts.join(kinds.filter(F.col("event_type").isin(batch)), "id", "left_semi")
+        states = ops.daily_states(_scorer(spark, sf_dir)(part), {"sentiment": "sentiment"})
+        sources.overwrite_partitions(states.withColumn("batch", F.lit(number)), path, ["batch"])
+    merged = ops.merge_states(spark.read.parquet(path).drop("batch"))
+    return merged.select("date", F.col("sentiment_sum").cast("double").alias("total_sentiment"))
+
+
 def dedupe_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.table(spark, sf_dir, "lineitem")
     return ops.dedupe(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
@@ -251,6 +293,20 @@ def features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each step of the feature table, counted by the job that writes it."""
+    watch, counting = ops.StepCounter(), counting_session(spark)
+    features = plans.build_features(
+        views.posts(counting, sf_dir),
+        views.prices(counting, sf_dir),
+        _scorer(counting, sf_dir),
+        sort=False,
+        watch=watch,
+    )
+    features.write.parquet(shared_dir(spark, "observed"))
+    return watch.counts(spark)
+
+
 def load_or_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the feature snapshot, then read it back."""
     path = shared_dir(spark, "features")
@@ -420,6 +476,10 @@ QUERIES = (
     read_raw_files,
     parse_document_posts,
     reject_report,
+    incremental_posts,
+    stored_days,
+    incremental_activity,
+    incremental_sentiment,
     dedupe_posts,
     labeled_corpus,
     labeled_file,
@@ -454,6 +514,7 @@ QUERIES = (
     export_series,
     normalized_overlay,
     step_counts,
+    observed_counts,
     fold_assignment,
     majority_vote,
     join_predictions,

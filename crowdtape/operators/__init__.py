@@ -6,13 +6,14 @@ from crowdtape.operators.folds import fold_column
 from crowdtape.operators.labels import next_day_label
 from crowdtape.operators.metrics import accuracy, confusion, weighted_recall
 from crowdtape.operators.normalize import zscore
-from crowdtape.operators.quality import class_balance, step_counts
+from crowdtape.operators.quality import StepCounter, class_balance, step_counts
 from crowdtape.operators.sampling import cap_per_group
 from crowdtape.operators.sentiment import score, score_with
 from crowdtape.operators.states import activity_of, daily_states, merge_states, moments_of, negated
 from crowdtape.operators.votes import join_predictions, vote
 
 __all__ = [
+    "StepCounter",
     "accuracy",
     "activity_of",
     "cap_per_group",

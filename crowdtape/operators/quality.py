@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,3 +25,31 @@ def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in steps.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+class StepCounter:
+    """Counts the rows of steps in the job that makes them, without a scan of its own.
+
+    The steps should belong to a ``counting_session``.
+    Pass it as ``watch`` to a plan, run the plan (by writing its result, say), then ask
+    for :meth:`counts`. A step counts what the first job that runs it passes on, so a
+    step that two branches of a plan read is watched in one of them. Where a lost
+    executor makes Spark run tasks again, their rows may count twice.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def __call__(self, df: DataFrame, step: str) -> DataFrame:
+        self._seen[step] = Observation()
+        return df.observe(self._seen[step], F.count(F.lit(1)).alias("rows"))
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """Table (step, rows) of the steps, once a job has run them; waits for it."""
+        found = [(step, int(seen.get["rows"])) for step, seen in self._seen.items()]
+        return spark.createDataFrame(found, "step string, rows bigint")
+
+
+def unwatched(df: DataFrame, step: str) -> DataFrame:
+    """The ``watch`` of plans whose steps nobody counts."""
+    return df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crowdtape.operators.activity import daily_activity, trading_days
 from crowdtape.operators.labels import next_day_label
+from crowdtape.operators.quality import unwatched
 from crowdtape.operators.sampling import cap_per_group
 from crowdtape.operators.sentiment import Lexicon, score
 
@@ -23,6 +24,7 @@ def daily_sentiment(
     seed: int = 0,
     by: Sequence[str] = (),
     weekdays_only: bool = True,
+    watch: Callable[[DataFrame, str], DataFrame] = unwatched,
 ) -> DataFrame:
     """Sum of post sentiments per date, over all posts or at most ``cap`` random ones a day.
 
@@ -40,6 +42,7 @@ def daily_sentiment(
         drawn = cap_per_group(chosen.select(*keys, "id"), keys, "id", cap, seed)
         chosen = chosen.join(drawn, [*keys, "id"], "left_semi") if text else drawn
     scored = scorer(chosen) if callable(scorer) else score(chosen, scorer)
+    scored = watch(scored, "scored posts")
     return scored.groupBy(*keys).agg(F.sum("sentiment").alias("total_sentiment"))
 
 
@@ -54,17 +57,21 @@ def build_features(
     seed: int = 0,
     by: Sequence[str] = (),
     sort: bool = True,
+    watch: Callable[[DataFrame, str], DataFrame] = unwatched,
 ) -> DataFrame:
     """One row per trading day with posts, a price and a next price.
 
     Columns: ``by``, ``date``, ``post_count``, one sum per measure, ``price``,
     ``next_price``, ``label`` and, with a ``scorer``, ``total_sentiment``. The
-    joins run on daily tables, never on posts, and sorting comes last.
+    joins run on daily tables, never on posts, and sorting comes last. ``watch`` (a
+    ``StepCounter``) gets each step with its name and returns it; leave ``sort`` off
+    then, since Spark runs what it sorts a second time to find the ranges.
     """
     keys = [*by, "date"]
-    features = daily_activity(trading_days(posts), measures, by=by).join(
-        next_day_label(prices, mode, price=price, by=by), keys
-    )
+    activity = daily_activity(watch(trading_days(posts), "trading day posts"), measures, by=by)
+    labels = next_day_label(prices, mode, price=price, by=by)
+    features = watch(activity, "active days").join(watch(labels, "labelled days"), keys)
     if scorer is not None:
-        features = features.join(daily_sentiment(posts, scorer, cap, seed, by), keys)
+        features = features.join(daily_sentiment(posts, scorer, cap, seed, by, watch=watch), keys)
+    features = watch(features, "feature days")
     return features.orderBy(*keys) if sort else features

@@ -27,6 +27,19 @@ def get_spark(app_name: str = "crowdtape", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings for jobs whose rows are observed.
+
+    A session that has observed a job cannot be sent to tasks any more, which the
+    evaluation of a model does with the session of its rows.
+    """
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """Return a fresh folder name below ``spark.checkpoint.dir``.
 

@@ -261,6 +261,40 @@ per_fold AS (SELECT fold, sum(n * recall) / sum(n) AS recall FROM per_label GROU
 SELECT round(avg(recall), 9) AS mean_recall, count(*) AS folds FROM per_fold""",
 }
 
+# A base and three deltas, the last of which repeats signups 40 days earlier.
+DELIVERED = f"""
+delivered AS (
+  SELECT CAST(user_id AS VARCHAR) AS username,
+         date_trunc('minute', CASE WHEN event_type = 'signup' THEN ts - to_days(40) ELSE ts END) AS timestamp,
+         CAST(CASE WHEN event_type = 'signup' THEN ts - to_days(40) ELSE ts END AS DATE) AS date,
+         CAST(event_id % 17 AS INTEGER) AS retweets, CAST(floor(value) AS INTEGER) AS favorites,
+         {RAW_TEXT} AS text, '' AS geo, '@u' AS mentions, '#t' AS hashtags,
+         CAST(event_id AS VARCHAR) AS id, 'http://x/p' AS permalink
+  FROM events)"""
+
+ORACLE |= {
+    "incremental_posts": f"WITH {DELIVERED} SELECT * FROM delivered",
+    "stored_days": f"""WITH {DELIVERED}
+SELECT id, date, retweets, favorites FROM delivered
+WHERE date BETWEEN DATE '2023-12-10' AND DATE '2024-01-15'""",
+    "incremental_activity": f"""WITH {DELIVERED},
+daily AS (
+  SELECT date, count(*) AS post_count, CAST(sum(retweets) AS BIGINT) AS sum_shares,
+         CAST(sum(favorites) AS BIGINT) AS sum_likes, round(stddev_samp(favorites), 6) AS likes_sd
+  FROM delivered GROUP BY date)
+SELECT *, round(coalesce((post_count - (SELECT avg(post_count) FROM daily))
+         / nullif((SELECT stddev_samp(post_count) FROM daily), 0), 0), 6) AS z FROM daily""",
+    "incremental_sentiment": ORACLE["daily_sentiment"],
+    "observed_counts": f"""
+WITH {POSTS}, {ACTIVITY}, {PRICES}, {LABELS}, {SENTIMENT}
+SELECT 'trading day posts' AS step, count(*) AS rows FROM posts WHERE isodow(date) < 6
+UNION ALL SELECT 'active days', count(*) FROM activity
+UNION ALL SELECT 'labelled days', count(*) FROM labels_by_day
+UNION ALL SELECT 'scored posts', count(*) FROM sample
+UNION ALL SELECT 'feature days', count(*)
+FROM activity JOIN labels_by_day USING (date) JOIN sentiment_by_day USING (date)""",
+}
+
 # Files that are written and read again hold what went into them.
 ORACLE |= {
     "read_raw_files": ORACLE["parse_raw_posts"],

@@ -144,6 +144,10 @@ def _line(time: Column, retweets: Column, post_id: Column, text: Column, permali
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a header, a good line and a line broken in one of four ways."""
+    return _event_lines(table(spark, sf_dir, "events"))
+
+
+def _event_lines(events: DataFrame) -> DataFrame:
     n = F.col("event_id")
     time = F.date_format("ts", "yyyy/MM/dd HH:mm")
     number = n % 17
@@ -156,13 +160,34 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 4 == 2, _line(time, number, F.concat(post_id, F.lit("a")), text, link))
         .otherwise(_line(time, number, post_id, text, ""))
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.explode(F.array(F.lit(HEADER), _line(time, number, post_id, text, link), broken)).alias(
             "value"
         )
     )
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Raw lines in a base and three deltas, one or some types of events after the other.
+
+    The last delta repeats stored posts: errors an hour later, signups 40 days earlier.
+    """
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    kind = F.col("event_type")
+    again = F.when(kind == "error", F.make_dt_interval(hours=F.lit(1)))
+    again = again.when(kind == "signup", F.make_dt_interval(days=F.lit(-40)))
+    repeated = events.withColumn("ts", F.col("ts") + again).filter(again.isNotNull())
+    return [
+        _event_lines(part)
+        for part in (
+            events.filter(~kind.isin("click", "purchase")),
+            events.filter(kind == "click"),
+            events.filter(kind == "purchase"),
+            repeated,
+        )
+    ]
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each whole document as the text of one line, on which line breaks become blanks."""
     text = F.replace(F.translate("text", "\r\n", "  "), F.lit('"'), F.lit('""'))

@@ -50,6 +50,40 @@ def test_direction_job(spark, files, tmp_path):
     assert features.count() == 49
     assert {r.label for r in features.select("label").collect()} == {0.0, 1.0}
     assert {r.total_sentiment for r in features.select("total_sentiment").collect()} == {4.0, -3.0}
+    counts = {r.step: r.rows for r in spark.read.parquet(str(tmp_path / "step_counts")).collect()}
+    assert counts == {
+        "trading day posts": 175,
+        "active days": 50,
+        "labelled days": 49,
+        "scored posts": 175,
+        "feature days": 49,
+        "posts": 245,
+        "rejected lines": 1,
+    }
+
+
+def test_features_follow_files_and_options(spark, files, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.txt").write_text((files / "posts.txt").read_text())
+    lexicon = {"good": 2, "bad": -1}
+    work = str(tmp_path / "work")
+
+    def days(words=lexicon, **options):
+        args = (spark, str(raw), str(files / "prices.csv"), words, work)
+        plans.direction_job(*args, trees=2, folds=2, **options)
+        features = spark.read.parquet(f"{work}/features")
+        return features.count(), features.agg({"total_sentiment": "sum"}).first()[0]
+
+    first = days()
+    assert first[0] == 49
+    made_of = lambda: sorted(p.name for p in (tmp_path / "work" / "features" / "_made_of").iterdir())
+    before = made_of()
+    assert days() == first and made_of() == before  # nothing has changed, nothing is made
+    assert days({"good": -2, "bad": 1})[1] != first[1] and made_of() != before
+    (raw / "b.txt").write_text('u;2024/01/02 10:05;1;1;"a good day";;;;"9001";http://x')
+    assert days()[1] == first[1] + 1
+    assert days(start="2024-02-01", end="2024-02-20")[0] == 14
 
 
 def test_mood_job(spark, files, tmp_path):
