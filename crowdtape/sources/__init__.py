@@ -1,5 +1,6 @@
 """Readers and writers: raw post lines, price files, labelled posts, snapshots."""
 
+from crowdtape.sources.csv_records import read_records
 from crowdtape.sources.labeled import label_posts, read_labeled_posts
 from crowdtape.sources.lexicon import read_lexicon
 from crowdtape.sources.manifest import content_hash, differences, input_files
@@ -36,6 +37,7 @@ __all__ = [
     "read_lexicon",
     "read_prices",
     "read_raw_posts",
+    "read_records",
     "rejected_lines",
     "split_fields",
     "write_series",

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from crowdtape.functions.scores import mood_label
 from crowdtape.functions.text import non_empty, valid_id
+from crowdtape.sources.csv_records import read_records
 
 # The columns of the labelled file, in file order.
 COLUMNS = [
@@ -32,12 +32,13 @@ COLUMNS = [
 def read_labeled_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Read the labelled CSV files and return ``label``, ``text`` and ``id``.
 
-    Records are read whole, line breaks and doubled quotes in texts included, so a
-    file is one task; many files spread over many.
+    Records are read whole, line breaks and doubled quotes in texts included; a large
+    file is read by many tasks. Line breaks in texts become ``\\n``.
     """
-    options = {"multiLine": True, "escape": '"'}
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in COLUMNS])
-    raw = spark.read.csv(path, schema=schema, header=True, **options)
+    schema = ", ".join(f"{name} string" for name in COLUMNS)
+    records = read_records(spark, path).filter("number > 0")  # the header comes first
+    fields = F.from_csv("record", F.lit(schema), {"escape": '"'})
+    raw = records.select(fields.alias("fields")).select("fields.*")
     return label_posts(raw, mood="airline_sentiment", text="text", post_id="tweet_id")
 
 
