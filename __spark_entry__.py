@@ -155,6 +155,18 @@ def features_long_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.build_features(views.shipments(spark, sf_dir), views.order_prices(spark, sf_dir))
 
 
+def session_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day with posts of the long history, weekends and planted holidays too, labelled by sessions."""
+    days = ops.daily_activity(views.shipments(spark, sf_dir), {})
+    return ops.session_labels(days, views.order_prices(spark, sf_dir), views.sessions(spark, sf_dir))
+
+
+def features_by_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.build_features(
+        views.shipments(spark, sf_dir), views.order_prices(spark, sf_dir), sessions=views.sessions(spark, sf_dir)
+    )
+
+
 # --- text, sample, sentiment ------------------------------------------------
 
 
@@ -314,6 +326,49 @@ def load_or_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.load_or_build(spark, path, lambda: spark.range(0).toDF("unused"))
 
 
+# --- models of terms --------------------------------------------------------
+
+
+def _held_out(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Labelled posts for training, and those of one fold in five that are kept from it."""
+    folds = ops.fold_column(labeled_corpus(spark, sf_dir), "id", k=5)
+    return folds.filter("fold <> 0"), folds.filter("fold = 0")
+
+
+def term_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive Bayes over terms, learned from four folds, for every labelled post."""
+    training, _ = _held_out(spark, sf_dir)
+    posts = ops.fold_column(labeled_corpus(spark, sf_dir), "id", k=5)
+    return ops.predict_terms(posts, ops.fit_term_bayes(training)).select("id", "label", "fold", "prediction")
+
+
+def term_bayes_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well it predicts the posts it has not seen, beside the share of the commonest label."""
+    training, unseen = _held_out(spark, sf_dir)
+    shares = ops.agreement(ops.predict_terms(unseen, ops.fit_term_bayes(training)))
+    return shares.select("rows", *(F.round(c, 9).alias(c) for c in ("accuracy", "majority")))
+
+
+def learned_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lexicon = ops.learn_lexicon(_held_out(spark, sf_dir)[0])
+    return lexicon.withColumn("z", F.round("z", 6))
+
+
+def learned_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of each labelled post by the lexicon learned from four folds."""
+    training, _ = _held_out(spark, sf_dir)
+    lexicon = ops.learn_lexicon(training)
+    posts = ops.fold_column(labeled_corpus(spark, sf_dir), "id", k=5)
+    return ops.score(posts, lexicon, form="class").select("id", "label", "fold", "sentiment")
+
+
+def learned_sentiment_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the posts it has not seen, the share it puts into their class, beside that of the commonest label."""
+    scored = learned_sentiment(spark, sf_dir).filter("fold = 0")
+    shares = ops.agreement(scored, prediction="sentiment")
+    return shares.select("rows", *(F.round(c, 9).alias(c) for c in ("accuracy", "majority")))
+
+
 # --- reports ----------------------------------------------------------------
 
 
@@ -492,6 +547,8 @@ QUERIES = (
     next_day_label_next_row,
     features_no_sentiment,
     features_long_history,
+    session_labels,
+    features_by_session,
     clean_text,
     tokenize,
     sentence_split,
@@ -508,6 +565,11 @@ QUERIES = (
     daily_sentiment,
     daily_sentiment_capped,
     features_full,
+    term_bayes,
+    term_bayes_accuracy,
+    learned_lexicon,
+    learned_sentiment,
+    learned_sentiment_accuracy,
     load_or_build,
     posts_per_day,
     price_per_day,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdtape.operators.activity import daily_activity, trading_days
+from crowdtape.operators.calendar import session_labels
 from crowdtape.operators.labels import next_day_label
 from crowdtape.operators.quality import unwatched
 from crowdtape.operators.sampling import cap_per_group
@@ -58,6 +59,7 @@ def build_features(
     by: Sequence[str] = (),
     sort: bool = True,
     watch: Callable[[DataFrame, str], DataFrame] = unwatched,
+    sessions: DataFrame | None = None,
 ) -> DataFrame:
     """One row per trading day with posts, a price and a next price.
 
@@ -66,12 +68,25 @@ def build_features(
     joins run on daily tables, never on posts, and sorting comes last. ``watch`` (a
     ``StepCounter``) gets each step with its name and returns it; leave ``sort`` off
     then, since Spark runs what it sorts a second time to find the ranges.
+
+    With ``sessions(date)`` the days of the exchange replace weekdays and calendar
+    days: posts and prices of other days are left out, and the next price is that of
+    the next session with one.
     """
     keys = [*by, "date"]
-    activity = daily_activity(watch(trading_days(posts), "trading day posts"), measures, by=by)
-    labels = next_day_label(prices, mode, price=price, by=by)
+    if sessions is None:
+        days = trading_days(posts)
+        labels = next_day_label(prices, mode, price=price, by=by)
+    else:
+        days = posts = posts.join(sessions.select("date").distinct(), "date", "left_semi")
+        labels = session_labels(prices.select(*keys).distinct(), prices, sessions, price=price, by=by)
+        labels = labels.filter(F.col("date") == F.col("price_date")).drop("price_date", "next_date")
+        labels = labels.filter(F.col("next_price").isNotNull())
+    activity = daily_activity(watch(days, "trading day posts"), measures, by=by)
     features = watch(activity, "active days").join(watch(labels, "labelled days"), keys)
     if scorer is not None:
-        features = features.join(daily_sentiment(posts, scorer, cap, seed, by, watch=watch), keys)
+        features = features.join(
+            daily_sentiment(posts, scorer, cap, seed, by, weekdays_only=sessions is None, watch=watch), keys
+        )
     features = watch(features, "feature days")
     return features.orderBy(*keys) if sort else features

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tapecheck.views import LEXICON
+from tapecheck.views import HOLIDAYS, LEXICON
 
 POSTS = """
 posts AS (
@@ -60,11 +60,15 @@ def _words(text: str) -> str:
     return f"list_filter(string_split({text}, ' '), lambda x: {IS_WORD})"
 
 
-def _totals(source: str, key: str) -> str:
+GIVEN_LEXICON = "lexicon(token, polarity) AS (VALUES {})".format(
+    ", ".join(f"('{token}', {polarity})" for token, polarity in LEXICON.items())
+)
+
+
+def _totals(source: str, key: str, lexicon: str = GIVEN_LEXICON) -> str:
     """CTEs that end in ``totals(key, total)`` for the texts of ``source``."""
-    lexicon = ", ".join(f"('{token}', {polarity})" for token, polarity in LEXICON.items())
     return f"""
-lexicon(token, polarity) AS (VALUES {lexicon}),
+{lexicon},
 sentence_list AS (SELECT {key}, unnest({SENTENCES}) AS sentence FROM {source}),
 sentence_rows AS (SELECT {key}, row_number() OVER () AS n, sentence FROM sentence_list),
 word_rows AS (SELECT {key}, n, unnest({_words("sentence")}) AS word FROM sentence_rows),
@@ -295,6 +299,97 @@ UNION ALL SELECT 'feature days', count(*)
 FROM activity JOIN labels_by_day USING (date) JOIN sentiment_by_day USING (date)""",
 }
 
+SESSIONS = f"""
+sessions AS (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders
+  WHERE isodow(o_orderdate) < 6 AND strftime(o_orderdate, '%m-%d') NOT IN {HOLIDAYS})"""
+
+SESSION_PRICES = f"""{ORDER_PRICES}, {SESSIONS},
+known AS (SELECT * FROM prices WHERE close IS NOT NULL AND date IN (SELECT date FROM sessions)),
+by_session AS (
+  SELECT a.date, a.close AS price, b.close AS next_price,
+         CASE WHEN b.close - a.close > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label
+  FROM known a ASOF JOIN known b ON a.date < b.date)"""
+
+# Terms of the labelled posts by the text's id, the fold of each post, and the model of four folds.
+TERMS = f"""
+folds AS (SELECT *, CAST(CAST('0x' || substr(md5('100:' || id), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold FROM corpus),
+sentence_texts AS (SELECT id, label, fold, unnest({SENTENCES}) AS sentence FROM folds),
+terms AS (SELECT id, label, fold, unnest({_words("sentence")}) AS term FROM sentence_texts)"""
+
+BAYES = f"""WITH {CORPUS}, {TERMS},
+class_rows AS (SELECT label, count(*) AS n FROM folds WHERE fold <> 0 GROUP BY label),
+priors AS (
+  SELECT label, ln((n + 1.0::DOUBLE) / ((SELECT sum(n) FROM class_rows) + (SELECT count(*) FROM class_rows))) AS prior
+  FROM class_rows),
+counts AS (SELECT term, label, count(*) AS n FROM terms WHERE fold <> 0 GROUP BY ALL),
+vocabulary AS (SELECT DISTINCT term FROM counts),
+class_terms AS (SELECT label, sum(n) AS n FROM counts GROUP BY label),
+weights AS (
+  SELECT v.term, c.label,
+         ln((coalesce(k.n, 0) + 1.0::DOUBLE) / (c.n + (SELECT count(*) FROM vocabulary))) AS weight
+  FROM vocabulary v CROSS JOIN class_terms c LEFT JOIN counts k ON k.term = v.term AND k.label = c.label),
+sums AS (SELECT t.id, w.label, sum(w.weight) AS total FROM terms t JOIN weights w USING (term) GROUP BY ALL),
+scores AS (
+  SELECT f.id, p.label AS class, round(p.prior + coalesce(s.total, 0), 6) AS score
+  FROM folds f CROSS JOIN priors p LEFT JOIN sums s ON s.id = f.id AND s.label = p.label),
+predicted AS (
+  SELECT id, class AS prediction FROM scores
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, class) = 1)"""
+
+LEARNED = f"""{CORPUS}, {TERMS},
+held AS (
+  SELECT term AS token, count(DISTINCT id) AS n, count(DISTINCT id) FILTER (label = 2) AS p,
+         count(DISTINCT id) FILTER (label = 0) AS m
+  FROM terms WHERE fold <> 0 GROUP BY term),
+weighted AS (
+  SELECT *, 100.0::DOUBLE * n / (SELECT sum(n) FROM held) AS w, (SELECT sum(p) FROM held) AS tp,
+         (SELECT sum(m) FROM held) AS tm
+  FROM held),
+scored_tokens AS (
+  SELECT token, (ln((p + w) / (tp + 100.0::DOUBLE - p - w)) - ln((m + w) / (tm + 100.0::DOUBLE - m - w)))
+         / sqrt(1 / (p + w) + 1 / (m + w)) AS z
+  FROM weighted),
+lexicon AS (
+  SELECT token, CAST(sign(z) * CASE WHEN abs(z) >= 3.92 THEN 2 ELSE 1 END AS INTEGER) AS polarity, z
+  FROM scored_tokens WHERE abs(z) >= 1.96)"""
+
+LEARNED_CLASSES = f"""WITH {_totals("corpus", "id", LEARNED)},
+classed AS (
+  SELECT f.id, f.label, f.fold, {_bucket(0, 1, 2)} AS sentiment
+  FROM folds f LEFT JOIN totals t ON t.id = f.id)"""
+
+
+def _agreement(source: str, prediction: str) -> str:
+    return f"""
+SELECT CAST(sum(n) AS BIGINT) AS rows, round(sum(hits) / sum(n), 9) AS accuracy, round(max(n) / sum(n), 9) AS majority
+FROM (SELECT label, count(*) AS n, count(*) FILTER (label = {prediction}) AS hits FROM {source} GROUP BY label)"""
+
+
+ORACLE |= {
+    "session_labels": f"""WITH {SESSION_PRICES}
+SELECT d.date, d.post_count, p.close AS price, p.date AS price_date, n.close AS next_price, n.date AS next_date,
+       CASE WHEN p.close IS NULL OR n.close IS NULL THEN NULL
+            WHEN n.close - p.close > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label
+FROM (SELECT CAST(l_shipdate AS DATE) AS date, count(*) AS post_count FROM lineitem GROUP BY 1) d
+ASOF LEFT JOIN known p ON d.date >= p.date ASOF LEFT JOIN known n ON d.date < n.date""",
+    "features_by_session": f"""
+WITH posts AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, l_linenumber AS retweets, CAST(l_quantity AS INTEGER) AS favorites
+  FROM lineitem), {SESSION_PRICES}
+SELECT date, count(*) AS post_count, CAST(sum(retweets) AS BIGINT) AS sum_shares,
+       CAST(sum(favorites) AS BIGINT) AS sum_likes, price, next_price, label
+FROM posts JOIN by_session USING (date) GROUP BY ALL""",
+    "term_bayes": f"{BAYES} SELECT id, label, fold, prediction FROM folds JOIN predicted USING (id)",
+    "term_bayes_accuracy": BAYES
+    + ", unseen AS (SELECT label, prediction FROM folds JOIN predicted USING (id) WHERE fold = 0)"
+    + _agreement("unseen", "prediction"),
+    "learned_lexicon": f"WITH {LEARNED} SELECT token, polarity, round(z, 6) AS z FROM lexicon",
+    "learned_sentiment": f"{LEARNED_CLASSES} SELECT * FROM classed",
+    "learned_sentiment_accuracy": f"""{LEARNED_CLASSES}, unseen AS (SELECT * FROM classed WHERE fold = 0)
+{_agreement("unseen", "sentiment")}""",
+}
+
 # Files that are written and read again hold what went into them.
 ORACLE |= {
     "read_raw_files": ORACLE["parse_raw_posts"],

@@ -88,6 +88,16 @@ def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Planted holidays of the long history, as month and day.
+HOLIDAYS = ("01-01", "07-04", "12-25")
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekdays with orders, but no holidays: the days on which the exchange was open."""
+    dates = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date")).distinct()
+    return dates.filter(is_trading_day(F.col("date")) & ~F.date_format("date", "MM-dd").isin(*HOLIDAYS))
+
+
 def mood_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents with the mood as a word: (id, text, mood)."""
     labels = table(spark, sf_dir, "labels")
