@@ -498,6 +498,21 @@ def word2vec_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pmi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Information of the word pairs that labelled posts hold five times or more, within five tokens."""
+    table = plans.positive_pmi(plans.cooccurrences(labeled_corpus(spark, sf_dir)), least=5)
+    return table.withColumn("pmi", F.round("pmi", 6))
+
+
+def count_vector_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean vector of each labelled post by word vectors made from counts in many tasks, in 0..1."""
+    from pyspark.ml.functions import vector_to_array
+
+    labeled = labeled_corpus(spark, sf_dir)
+    features = plans.fit_count_vectorizer(labeled).transform(labeled)
+    return features.select("id", "label", vector_to_array("features").alias("features"))
+
+
 def _fit_and_score(spark: SparkSession, sf_dir: str, estimator, prediction: str) -> DataFrame:
     """The model is fitted on bounded rows and scores all labelled posts."""
     labeled = labeled_corpus(spark, sf_dir)
@@ -588,6 +603,8 @@ QUERIES = (
     cv_direction,
     fit_forest,
     word2vec_features,
+    pmi_table,
+    count_vector_features,
     fit_mlp,
     fit_nb,
     ensemble_predictions,

@@ -129,7 +129,7 @@ def learn_lexicon(
 
     def log_odds(c: str) -> Column:
         own = F.col(c) + F.col("weight")
-        return F.log(own / (total[c] + F.lit(prior) - own))
+        return F.log(F.try_divide(own, total[c] + F.lit(prior) - own))  # null where no other term is left
 
     spread = F.sqrt(1 / (F.col("p") + F.col("weight")) + 1 / (F.col("m") + F.col("weight")))
     scored = counts.withColumn("weight", weight).withColumn("z", (log_odds("p") - log_odds("m")) / spread)

@@ -20,21 +20,27 @@ from crowdtape.plans.mood import (
     word2vec_features,
 )
 from crowdtape.plans.reports import normalized_overlay, posts_per_day, price_per_day
+from crowdtape.plans.word_vectors import cooccurrences, fit_count_vectorizer, fit_word_vectors, mean_vectors, positive_pmi
 
 __all__ = [
     "assemble",
     "build_features",
+    "cooccurrences",
     "cross_validate",
     "daily_sentiment",
     "direction_job",
+    "fit_count_vectorizer",
     "fit_mood_models",
     "fit_vectorizer",
+    "fit_word_vectors",
     "forest",
     "load_posts",
+    "mean_vectors",
     "mood_job",
     "naive_bayes",
     "normalized_overlay",
     "perceptron",
+    "positive_pmi",
     "posts_per_day",
     "price_per_day",
     "read_daily_activity",

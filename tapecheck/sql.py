@@ -390,6 +390,23 @@ FROM posts JOIN by_session USING (date) GROUP BY ALL""",
 {_agreement("unseen", "sentiment")}""",
 }
 
+ORACLE["pmi_table"] = f"""WITH {CORPUS},
+token_lists AS (SELECT row_number() OVER () AS n, {_words(UNHANDLED)} AS words FROM corpus),
+placed AS (SELECT n, unnest(words) AS word, unnest(range(len(words))) AS at FROM token_lists),
+shifted AS ({" UNION ALL ".join(
+    f"SELECT word, lead(word, {gap}) OVER (PARTITION BY n ORDER BY at) AS context FROM placed" for gap in range(1, 6)
+)}),
+ahead AS (SELECT word, context, count(*) AS n FROM shifted WHERE context IS NOT NULL GROUP BY ALL),
+pairs AS (
+  SELECT word, context, sum(n) AS n
+  FROM (SELECT * FROM ahead UNION ALL SELECT context, word, n FROM ahead) GROUP BY ALL),
+totals AS (SELECT word, sum(n) AS total FROM pairs GROUP BY word),
+scored AS (
+  SELECT p.word, p.context,
+         ln((CAST(p.n AS DOUBLE) / w.total) * (CAST((SELECT sum(total) FROM totals) AS DOUBLE) / c.total)) AS pmi
+  FROM pairs p JOIN totals w ON w.word = p.word JOIN totals c ON c.word = p.context WHERE p.n >= 5)
+SELECT word, context, round(pmi, 6) AS pmi FROM scored WHERE pmi > 0"""
+
 # Files that are written and read again hold what went into them.
 ORACLE |= {
     "read_raw_files": ORACLE["parse_raw_posts"],

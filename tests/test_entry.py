@@ -12,7 +12,7 @@ def con(sf_dir):
 
 def test_every_sql_query_is_registered():
     ours = {q.__name__ for q in registry.QUERIES}
-    assert ours <= set(registry.oracle_sql())
+    assert ours - NO_SQL <= set(registry.oracle_sql())
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
@@ -31,9 +31,12 @@ def test_entry(spark):
 
 
 MODELS = {"cv_forest", "cv_direction", "fit_forest", "word2vec_features", "fit_mlp", "fit_nb", "ensemble_predictions"}
+NO_SQL = {"count_vector_features"}
+# Written by a stream, whose batches a Python function of the driver takes.
+STORES = {"incremental_posts", "stored_days", "incremental_activity", "observed_counts"}
 
 
 def test_native_queries_run_no_python(spark, sf_dir):
-    for name in set(OURS) - MODELS - {"score_with_plugin", "load_or_build"}:
+    for name in set(OURS) - MODELS - STORES - {"score_with_plugin", "load_or_build"}:
         df = registry.queries()[name](spark, sf_dir)
         assert "Python" not in df._jdf.queryExecution().executedPlan().toString(), name
