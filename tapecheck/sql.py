@@ -390,12 +390,14 @@ FROM posts JOIN by_session USING (date) GROUP BY ALL""",
 {_agreement("unseen", "sentiment")}""",
 }
 
+SHIFTED = " UNION ALL ".join(
+    f"SELECT word, lead(word, {gap}) OVER (PARTITION BY n ORDER BY place) AS context FROM placed" for gap in range(1, 6)
+)
+
 ORACLE["pmi_table"] = f"""WITH {CORPUS},
 token_lists AS (SELECT row_number() OVER () AS n, {_words(UNHANDLED)} AS words FROM corpus),
-placed AS (SELECT n, unnest(words) AS word, unnest(range(len(words))) AS at FROM token_lists),
-shifted AS ({" UNION ALL ".join(
-    f"SELECT word, lead(word, {gap}) OVER (PARTITION BY n ORDER BY at) AS context FROM placed" for gap in range(1, 6)
-)}),
+placed AS (SELECT n, unnest(words) AS word, unnest(range(len(words))) AS place FROM token_lists),
+shifted AS ({SHIFTED}),
 ahead AS (SELECT word, context, count(*) AS n FROM shifted WHERE context IS NOT NULL GROUP BY ALL),
 pairs AS (
   SELECT word, context, sum(n) AS n
