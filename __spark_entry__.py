@@ -193,6 +193,15 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences by rules for abbreviations, initials, numbers, quotes and dots in a row."""
+    documents = views.table(spark, sf_dir, "documents")
+    parts = documents.select("doc_id", F.posexplode(fx.sentences_by_rules(F.col("text"))))
+    return parts.select(
+        "doc_id", (F.col("pos") + 1).cast("long").alias("sentence_no"), F.col("col").alias("sentence")
+    )
+
+
 def cap_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = views.posts(spark, sf_dir).select("date", "id", "username")
     return ops.cap_per_group(posts, "date", "id", seed=7)
@@ -567,6 +576,7 @@ QUERIES = (
     clean_text,
     tokenize,
     sentence_split,
+    sentence_rules,
     cap_per_day,
     sentiment_signed,
     sentiment_class,

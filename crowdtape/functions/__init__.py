@@ -12,6 +12,7 @@ from crowdtape.functions.text import (
     clean,
     non_empty,
     sentences,
+    sentences_by_rules,
     strip_emoji,
     strip_handles,
     tokens,
@@ -31,6 +32,7 @@ __all__ = [
     "non_empty",
     "previous_trading_day",
     "sentences",
+    "sentences_by_rules",
     "strip_emoji",
     "strip_handles",
     "tokens",

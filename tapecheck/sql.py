@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from crowdtape.functions.text import ABBREVIATIONS, CAPITAL, ELLIPSIS, END_MARKS, INITIALS
 from tapecheck.views import HOLIDAYS, LEXICON
 
 POSTS = """
@@ -390,6 +391,31 @@ FROM posts JOIN by_session USING (date) GROUP BY ALL""",
 {_agreement("unseen", "sentiment")}""",
 }
 
+def _pattern(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ENDS = f"""regexp_matches(w, {_pattern(END_MARKS)}) AND lower(w) NOT IN {ABBREVIATIONS}
+  AND NOT regexp_matches(w, {_pattern(INITIALS)})
+  AND (NOT regexp_matches(w, {_pattern(ELLIPSIS)}) OR regexp_matches(coalesce(words[i + 1], ''), {_pattern(CAPITAL)}))"""
+
+ORACLE["sentence_rules"] = rf"""
+WITH line_lists AS (
+  SELECT doc_id, regexp_split_to_array(translate(text, chr(1), ''), '\n+') AS lines FROM documents),
+numbered AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS line_no FROM line_lists),
+worded AS (
+  SELECT doc_id, line_no, list_filter(regexp_split_to_array(line, '[ \t\r\x0B\f]+'), lambda w: w <> '') AS words
+  FROM numbered),
+marked AS (
+  SELECT doc_id, line_no, array_to_string(list_transform(words, lambda w, i:
+    CASE WHEN {ENDS} THEN w || chr(1) ELSE w END), ' ') AS line
+  FROM worded),
+wholes AS (SELECT doc_id, string_agg(coalesce(line, ''), chr(1) ORDER BY line_no) AS whole FROM marked GROUP BY doc_id),
+found AS (
+  SELECT doc_id, list_filter(list_transform(string_split(whole, chr(1)), lambda x: trim(x, ' ')), lambda x: x <> '') AS parts
+  FROM wholes)
+SELECT doc_id, unnest(range(1, len(parts) + 1)) AS sentence_no, unnest(parts) AS sentence FROM found"""
+
 SHIFTED = " UNION ALL ".join(
     f"SELECT word, lead(word, {gap}) OVER (PARTITION BY n ORDER BY place) AS context FROM placed" for gap in range(1, 6)
 )
