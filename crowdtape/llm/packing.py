@@ -31,6 +31,8 @@ CHILDREN = 12
 ELITES = 1
 #: Sequences filled less than this share are packed again, together with those of other groups.
 LOOSE = 0.97
+#: Texts whose new words are encoded together.
+TEXTS = 512
 #: More than the sequences of a group.
 BINS = 1 << 24
 
@@ -41,16 +43,19 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 
 class WordIds(dict):
-    """Little-endian 32-bit ids of words, encoded at first sight.
+    """Numbers of words, and their ids, which are encoded together for many new words at a time.
 
     The tokenizer drops white space and never merges across it, so a text's ids are
     those of its words one after the other. Words of plain Latin letters, also
     before a full stop or comma, are merged by tiktoken with the merges of the same
-    file, which gives the same ids several times faster; all others go through
-    ``tokenizers``. The cache starts anew when it holds ``limit`` words.
+    file, all in one call, which gives the same ids many times faster; all others go
+    through ``tokenizers``. The words start anew when there are more than ``limit``.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    #: Stands for the end of a word; no plain word has it.
+    END = "\ue000"
+
+    def __init__(self, path: str, limit: int = 1_000_000):
         import json
         import os
 
@@ -61,9 +66,18 @@ class WordIds(dict):
         self.limit = limit
         with open(path, encoding="utf-8") as file:
             self._load_merges(json.load(file)["model"])
+        self._forget()
+
+    def _forget(self) -> None:
+        import numpy as np
+
+        self.clear()
+        self.new: list[bytes] = []
+        self.flat = np.zeros(1 << 16, "<u4")  # ids of all words, one after the other
+        self.starts = np.zeros(1, np.int64)  # place of each word, and the end
 
     def _load_merges(self, model: dict) -> None:
-        """The file's merges as ranks, with byte 255, which no UTF-8 has, for a word's end."""
+        """The file's merges as ranks of bytes, after those that put the three bytes of ``END`` together."""
         import numpy as np
         import tiktoken
 
@@ -71,43 +85,94 @@ class WordIds(dict):
         others = [b for b in range(256) if b not in printable]
         symbols = {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
         byte_of = {symbol: b for b, symbol in symbols.items()}
+        end = self.END.encode()
 
         def as_bytes(token: str) -> bytes:
             body = token.removesuffix("</w>")
-            return bytes(byte_of[c] for c in body) + b"\xff" * (body != token)
+            return bytes(byte_of[c] for c in body) + end * (body != token)
 
-        tokens = list(symbols.values()) + [symbols[b] + "</w>" for b in range(255)]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        tokens += ["".join(pair) for pair in pairs]
-        ranks = {as_bytes(token): n for n, token in enumerate(dict.fromkeys(tokens))}
-        ids = [model["vocab"].get(token, 0) for token in dict.fromkeys(tokens)]
-        self.ids = np.array(ids, "<u4")
+        later = [symbols[b] + "</w>" for b in range(256)] + ["".join(pair) for pair in pairs]
+        tokens = [(as_bytes(symbol), symbol) for symbol in symbols.values()]
+        tokens += [(end[:2], ""), (end, "")]
+        tokens += [(as_bytes(token), token) for token in later]
+        ranks: dict[bytes, int] = {}
+        for data, _ in tokens:
+            ranks.setdefault(data, len(ranks))
+        self.ids, self.ends = np.zeros(len(ranks), "<u4"), np.zeros(len(ranks), bool)
+        for data, token in reversed(tokens):
+            self.ids[ranks[data]] = model["vocab"].get(token, 0)
+            self.ends[ranks[data]] = data.endswith(end)
         self.merge = tiktoken.Encoding(
-            "words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={}
-        )._encode_single_piece
+            "words", pat_str=r"[^ ]+", mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
 
-    def _plain(self, word: str) -> bytes:
-        return self.ids[self.merge(word.encode() + b"\xff")].tobytes()
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
-    def __missing__(self, key: bytes) -> bytes:
+    def numbers(self, text: str):
+        """Numbers of a text's words; new ones have no ids before :meth:`encode_new`."""
         import numpy as np
 
-        word = key.decode()
-        body = word.lower()
-        end = body[-1] if body[-1] in ".," else ""
-        body = body.removesuffix(end)
-        if body.isalpha() and max(body) < "ɐ":
-            ids = self._plain(body) + (self._plain(end) if end else b"")
-        else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        if len(key) < 64:
-            self[key] = ids
-        return ids
+        words = text.encode().split()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def encode_new(self) -> None:
+        """Ids of the words met since the last call."""
+        import numpy as np
+
+        if not self.new:
+            return
+        pieces, counts, others = [], np.zeros(len(self.new), np.int64), []
+        for at, word in enumerate(self.new):
+            body = word.decode().lower()
+            stem = body[:-1] if body[-1] in ".," else body
+            if stem.isalpha() and max(stem) < "ɐ":
+                pieces.append(stem)
+                counts[at] = 1
+                if stem is not body:
+                    pieces.append(body[-1])
+                    counts[at] = 2
+            else:
+                others.append(at)
+        ranks = np.array(self.merge(f"{self.END} ".join([*pieces, ""])), np.int64)
+        last = np.flatnonzero(self.ends[ranks]) + 1  # behind each piece
+        behind = np.concatenate([[0], last])[np.cumsum(counts)]
+        sizes = np.diff(behind, prepend=0)
+        plain = self.ids[ranks]
+        parts, done = [], 0
+        rest = self.tokenizer.encode_batch([self.new[at].decode() for at in others], add_special_tokens=False)
+        for at, encoding in zip(others, rest, strict=True):
+            parts += [plain[done : behind[at]], np.array(encoding.ids, "<u4")]
+            done = behind[at]
+            sizes[at] = len(encoding.ids)
+        parts.append(plain[done:])
+        used, added = self.starts[-1], int(sizes.sum())
+        if used + added > len(self.flat):
+            self.flat = np.concatenate([self.flat[:used], np.zeros(max(len(self.flat), added), "<u4")])
+        self.flat[used : used + added] = np.concatenate(parts)
+        self.starts = np.concatenate([self.starts, used + np.cumsum(sizes)])
+        self.new = []
+
+    def ids_of(self, numbers):
+        """Ids of the words with these numbers, one after the other."""
+        import numpy as np
+
+        starts = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - starts
+        total = np.cumsum(sizes)
+        count = int(total[-1]) if len(total) else 0
+        return self.flat[np.arange(count) + np.repeat(starts - (total - sizes), sizes)]
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split()))
+    def encode_all(self, texts: list[str]) -> list:
+        """Little-endian 32-bit ids of each text."""
+        if len(self) > self.limit:
+            self._forget()
+        numbers = [self.numbers(text) for text in texts]
+        self.encode_new()
+        return [self.ids_of(some) for some in numbers]
 
 
 def tokenized_pieces(
@@ -124,15 +189,18 @@ def tokenized_pieces(
         import pyarrow as pa
 
         words = WordIds(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = memoryview(words.encode(text.as_py() or "") + end)
-                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * start : 4 * (start + capacity)]
-                    rows.append((doc_id, piece, start, len(part) // 4, zlib.crc32(part)))
+            for at in range(0, batch.num_rows, TEXTS):
+                texts = [text.as_py() or "" for text in batch.column(1).slice(at, TEXTS)]
+                doc_ids = batch.column(0).slice(at, TEXTS).to_pylist()
+                for doc_id, ids in zip(doc_ids, words.encode_all(texts), strict=True):
+                    ids = np.concatenate([ids, end])
+                    for piece, start in enumerate(range(0, len(ids), capacity)):
+                        part = ids[start : start + capacity]
+                        rows.append((doc_id, piece, start, len(part), zlib.crc32(part)))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = ["int64", "int32", "int64", "int64", "int64"]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]

@@ -321,8 +321,15 @@ def test_archives_round_trip(spark):
 @given(st.text(max_size=60) | st.lists(st.sampled_from(["it's", "Größe,", "a.", "<|endoftext|>", "9x", "ﬁ", "Σ", "\x85", "\x1c"])).map(" ".join))
 def test_word_ids_are_the_tokenizers(text):
     words = test_word_ids_are_the_tokenizers.__dict__.setdefault("words", packing.WordIds(WORD_BPE))
-    ids = np.frombuffer(words.encode(text), "<u4").tolist()
-    assert ids == words.tokenizer.encode(text, add_special_tokens=False).ids
+    again = words.encode_all([text, text])
+    assert again[0].tolist() == again[1].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_start_anew_beyond_the_limit():
+    words = packing.WordIds(WORD_BPE, limit=2)
+    for text in ("one two three. four", "three five,", "one Größe, ﬁ9"):
+        assert words.encode_all([text, ""])[0].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(words) == 3
 
 
 def test_packing_is_whole_and_tight(spark, awkward, empty):
