@@ -23,6 +23,8 @@ WINDOW = 5
 OVERSAMPLING = 10
 #: Multiplications with the matrix after the first one.
 STEPS = 2
+#: Pairs seen fewer times say more about chance than about words, and are most of all pairs.
+LEAST = 2
 #: Words whose vectors are broadcast at most, a few hundred MB; beyond, texts meet them in a join.
 BROADCAST_WORDS = 200_000
 
@@ -118,14 +120,14 @@ def fit_word_vectors(
     texts: DataFrame,
     size: int = VECTOR_SIZE,
     window: int = WINDOW,
-    least: int = 1,
+    least: int = LEAST,
     steps: int = STEPS,
     text: str = "text",
 ) -> DataFrame:
     """``word`` and ``vector`` (array of ``size`` doubles) of the words of all texts.
 
     Every occurrence in every text counts. Words with no positive information about any
-    neighbour have no vector; where the words span less than ``size`` dimensions, the
+    neighbour they were seen with ``least`` times have no vector; where the words span less than ``size`` dimensions, the
     other entries are 0. Vectors do not depend on files, partitions or cores, but for
     the rounding of sums.
     """

@@ -49,7 +49,7 @@ def test_pmi_and_vectors_are_those_of_numpy(spark, texts):
     matrix = np.array([[expected.get((a, b), 0.0) for b in words] for a in words])
     values = np.linalg.eigvalsh(matrix)
     largest = values[np.argsort(-np.abs(values))][:6]
-    found = {r.word: r.vector for r in plans.fit_word_vectors(texts, size=6, steps=3).collect()}
+    found = {r.word: r.vector for r in plans.fit_word_vectors(texts, size=6, least=1, steps=3).collect()}
     vectors = np.array([found[w] for w in words])
     # Columns are eigenvectors, scaled by the root of the eigenvalue's size.
     assert np.linalg.norm(vectors, axis=0) ** 2 == pytest.approx(np.abs(largest), rel=1e-3)
@@ -60,7 +60,7 @@ def test_pmi_and_vectors_are_those_of_numpy(spark, texts):
 def test_vectors_do_not_follow_the_partitioning(spark, texts):
     runs = []
     for parts in (1, 16):
-        found = plans.fit_word_vectors(texts.repartition(parts), size=5)
+        found = plans.fit_word_vectors(texts.repartition(parts), size=5, least=1)
         runs.append({r.word: r.vector for r in found.collect()})
     assert runs[0].keys() == runs[1].keys()
     for word, vector in runs[0].items():
