@@ -514,11 +514,11 @@ def pmi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_vector_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean vector of each labelled post by word vectors made from counts in many tasks, in 0..1."""
+    """Mean vector of each labelled post, in 0..1, by word vectors from the pairs of ``pmi_table``."""
     from pyspark.ml.functions import vector_to_array
 
     labeled = labeled_corpus(spark, sf_dir)
-    features = plans.fit_count_vectorizer(labeled).transform(labeled)
+    features = plans.fit_count_vectorizer(labeled, least=5).transform(labeled)
     return features.select("id", "label", vector_to_array("features").alias("features"))
 
 
