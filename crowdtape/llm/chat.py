@@ -9,7 +9,7 @@ and parsed again, until all are identical. Escaping puts one backslash more betw
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crowdtape.llm.common import string_or_empty, table
@@ -44,7 +44,7 @@ def render(role: Column, text: Column) -> Column:
 
 
 def parse(rendered: Column) -> Column:
-    """Turns of a rendering: an array of role, text, and where the text stands (from 0)."""
+    """Turns of a rendering: an array of role, text, and their lengths in the rendering."""
     pieces = F.split(rendered, r"<\|im_start\|>", -1)
     # The first piece stands before the first turn and is empty in a rendering.
     pieces = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
@@ -77,8 +77,9 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     Turns stand in the order of ``turn`` (nulls first), then role and text, so ties
     and repeated rows have one order; repeated rows are turns of their own. Null
     roles and texts are empty; rows of a null ``conv_id`` are one conversation.
-    ``recovered`` is what parsing ``formatted`` gives; should it ever differ from
-    ``turns`` after escaping, the query ends with an error instead of a wrong text.
+    ``recovered`` is what parsing ``formatted`` gives, with the ``start`` (from 0) of
+    each text in it; should it ever differ from ``turns`` after escaping, the query ends
+    with an error instead of a wrong text. Work is linear in a conversation's length.
     Other columns are ignored; an empty table has no conversations.
     """
     turns = rows.select("conv_id", "turn", string_or_empty("role").alias("role"), string_or_empty("text").alias("text"))
@@ -86,50 +87,48 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     tried = turns.withColumn("plain", round_trip(F.col("role"), F.col("text")))
     safe_role = F.when(F.col("plain"), F.col("role")).otherwise(escaped_role(F.col("role")))
     safe_text = F.when(F.col("plain"), F.col("text")).otherwise(escaped(F.col("text")))
-    rendered = tried.select(
-        "conv_id", F.struct("turn", "role", "text", "plain", render(safe_role, safe_text).alias("rendered")).alias("one")
-    )
-    whole = rendered.groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("turns"))
+    rendered = tried.withColumn("rendered", render(safe_role, safe_text))
+    # Where each turn begins, as a running sum by the order of turns; the groups below read the same shuffle.
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.coalesce(F.sum(F.length("rendered")).over(before), F.lit(0)).cast("int").alias("at")
+    placed = rendered.select("conv_id", "turn", "role", "text", "plain", "rendered", at)
+    one = F.struct("turn", "role", "text", "plain", "rendered", "at").alias("one")
+    whole = placed.select("conv_id", one).groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("turns"))
     formatted = whole.select(
         "conv_id", "turns", F.array_join(F.transform("turns", lambda t: t["rendered"]), "").alias("formatted")
     )
     parsed = formatted.withColumn("recovered", parse(F.col("formatted")))
-    same = F.transform("turns", lambda t: F.struct(t["role"], t["text"])) == F.transform(
-        "recovered", lambda t: F.struct(t["role"], t["text"])
+    same = F.transform(
+        "turns", lambda t: F.struct(t["role"], t["text"], F.length(t["rendered"]))
+    ) == F.transform("recovered", lambda t: F.struct(t["role"], t["text"], t["piece_chars"] + F.lit(len(START))))
+    started = F.zip_with(
+        "recovered",
+        "turns",
+        lambda t, turn: F.struct(
+            t["role"].alias("role"),
+            t["text"].alias("text"),
+            (turn["at"] + F.lit(len(START) + 1) + t["role_chars"]).alias("start"),
+            t["chars"].alias("chars"),
+        ),
     )
     error = F.raise_error(F.concat(F.lit("no round trip for conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
     return parsed.select(
         "conv_id",
         F.size(F.filter("turns", lambda t: ~t["plain"])).cast("long").alias("n_escaped"),
         F.when(same, F.col("formatted")).otherwise(error.cast("string")).alias("formatted"),
-        "recovered",
+        started.alias("recovered"),
     )
 
 
 def loss_spans(recovered: Column, role: str = MASKED_ROLE) -> Column:
     """Start (from 0) and length of each masked text in the rendering, escapes included."""
-    begin = F.aggregate(
-        recovered,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,chars:int>>").alias("spans")),
-        lambda state, t: F.struct(
-            (state["at"] + F.lit(len(START)) + t["piece_chars"]).alias("at"),
-            F.when(
-                t["role"] == role,
-                F.concat(
-                    state["spans"],
-                    F.array(
-                        F.struct(
-                            (state["at"] + F.lit(len(START) + 1) + t["role_chars"]).alias("start"),
-                            t["chars"].alias("chars"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(state["spans"])
-            .alias("spans"),
-        ),
-    )
-    return begin["spans"]
+    masked = F.filter(recovered, lambda t: t["role"] == role)
+    return F.transform(masked, lambda t: F.struct(t["start"].alias("start"), t["chars"].alias("chars")))
+
+
+def masked_texts(recovered: Column, role: str = MASKED_ROLE) -> Column:
+    """The texts at ``loss_spans``, unescaped: as parsed from the rendering."""
+    return F.transform(F.filter(recovered, lambda t: t["role"] == role), lambda t: t["text"])
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,10 +141,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(attack).alias("text"),
     )
     output = format_conversations(rows.unionByName(planted))
-    output = output.select("*", loss_spans(F.col("recovered")).alias("spans"))
-    # Read the masked texts back from the rendering itself.
-    masked = F.transform("spans", lambda s: unescaped(F.substring(F.col("formatted"), s["start"] + 1, s["chars"])))
-    output = output.withColumn("masked", F.array_join(masked, ""))
+    output = output.withColumn("masked", F.array_join(masked_texts(F.col("recovered")), ""))
     turns = F.array_join(
         F.transform("recovered", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
