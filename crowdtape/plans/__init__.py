@@ -20,7 +20,14 @@ from crowdtape.plans.mood import (
     word2vec_features,
 )
 from crowdtape.plans.reports import normalized_overlay, posts_per_day, price_per_day
-from crowdtape.plans.word_vectors import cooccurrences, fit_count_vectorizer, fit_word_vectors, mean_vectors, positive_pmi
+from crowdtape.plans.word_vectors import (
+    cooccurrences,
+    fit_count_vectorizer,
+    fit_word_vectors,
+    mean_vectors,
+    pair_information,
+    positive_pmi,
+)
 
 __all__ = [
     "assemble",
@@ -39,6 +46,7 @@ __all__ = [
     "mood_job",
     "naive_bayes",
     "normalized_overlay",
+    "pair_information",
     "perceptron",
     "positive_pmi",
     "posts_per_day",

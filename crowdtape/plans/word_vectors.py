@@ -8,14 +8,14 @@ the size of the subspace reach the driver.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdtape.functions.text import tokens
-from crowdtape.session import shared_dir
+from crowdtape.session import drop, stored
 
 #: Entries of a vector, neighbours on either side, and directions of the subspace beside those that are kept.
 VECTOR_SIZE = 50
@@ -25,31 +25,72 @@ OVERSAMPLING = 10
 STEPS = 2
 #: Pairs seen fewer times say more about chance than about words, and are most of all pairs.
 LEAST = 2
+#: Pairs are shuffled in shares of so many, in at most so many shares.
+COUNT_PAIRS, COUNT_PASSES = 50_000_000, 8
 #: Words whose vectors are broadcast at most, a few hundred MB; beyond, texts meet them in a join.
 BROADCAST_WORDS = 200_000
 
 
-def cooccurrences(texts: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``word``, ``context`` and ``n``: how often two words are at most ``window`` tokens apart, both ways."""
-    words = texts.filter(F.col(text).isNotNull()).select(tokens(F.col(text)).alias("words"))
+def _token_lists(texts: DataFrame, text: str, scratch: list[str]) -> DataFrame:
+    """``words``, the tokens of each text, worked out once."""
+    lists = texts.filter(F.col(text).isNotNull()).select(tokens(F.col(text)).alias("words"))
+    return stored(lists, "token-lists", scratch)
+
+
+def _totals(lists: DataFrame, window: int) -> DataFrame:
+    """``word`` and ``total``, the pairs it is in, counted from its places and not from the pairs."""
+    placed = lists.select(F.size("words").alias("size"), F.posexplode("words").alias("at", "word"))
+    before, after = F.least("at", F.lit(window)), F.least(F.col("size") - 1 - F.col("at"), F.lit(window))
+    total = placed.groupBy("word").agg(F.sum(before + after).alias("total"))
+    return total.filter("total > 0")
+
+
+def _counted_pairs(lists: DataFrame, window: int, least: int) -> DataFrame:
+    """``word``, ``context`` and ``n`` of the pairs seen ``least`` times or more, both ways; a stored table.
 
-    def apart(gap: int) -> Column:
-        """Each word with the one ``gap`` tokens later: two slices a text, not one a word."""
-        rest = F.greatest(F.size("words") - gap, F.lit(0))
-        near, far = F.slice("words", F.lit(1), rest), F.slice("words", F.lit(gap + 1), rest)
-        return F.zip_with(near, far, lambda a, b: F.struct(a.alias("word"), b.alias("context")))
+    A pair is counted under one string, whichever of its words comes first. Pairs are
+    dealt into shares by a hash, and one share is shuffled after the other, so
+    that shuffle files hold one share at most; of each, only what was seen often enough is kept.
+    """
+    number = lists.agg(F.sum(F.size("words"))).first()[0] or 0
+    passes = max(1, min(COUNT_PASSES, -(-number * window // COUNT_PAIRS)))
+    # Rows of a place and a gap, not arrays of pairs: all of it is compiled into one loop.
+    gaps = F.explode(F.array(*(F.lit(gap) for gap in range(1, window + 1)))).alias("gap")
+    placed = lists.select("words", F.posexplode("words").alias("at", "word")).select("*", gaps)
+    other = F.get("words", F.col("at") + F.col("gap"))
+    met = placed.select("word", other.alias("context")).filter("context IS NOT NULL")
+    pairs = met.select(F.concat(F.least("word", "context"), F.lit(" "), F.greatest("word", "context")).alias("pair"))
+    parts = []
+    for part in range(passes):
+        own = pairs.filter(F.pmod(F.xxhash64("pair"), F.lit(passes)) == part) if passes > 1 else pairs
+        counted = own.groupBy("pair").agg(F.count("*").alias("n"))
+        # A token holds no blank.
+        ends = counted.select(F.split("pair", " ").alias("pair"), "n").select(
+            F.col("pair")[0].alias("a"), F.col("pair")[1].alias("b"), "n"
+        )
+        times = F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n"))
+        often = ends.withColumn("n", times).filter(F.col("n") >= least)
+        parts.append(stored(often, "pairs"))
+    counted = reduce(DataFrame.unionByName, parts)
+    there = counted.select(F.col("a").alias("word"), F.col("b").alias("context"), "n")
+    back = counted.filter("a <> b").select(F.col("b").alias("word"), F.col("a").alias("context"), "n")
+    return there.unionByName(back)
+
+
+def cooccurrences(texts: DataFrame, text: str = "text", window: int = WINDOW, least: int = 1) -> DataFrame:
+    """``word``, ``context`` and ``n``: how often two words are at most ``window`` tokens apart, both ways."""
+    scratch: list[str] = []
+    pairs = _counted_pairs(_token_lists(texts, text, scratch), window, least)
+    drop(texts.sparkSession, scratch)
+    return pairs
 
-    every = F.flatten(F.array(*(apart(gap) for gap in range(1, window + 1))))
-    pairs = words.select(F.explode(every).alias("pair")).select("pair.*")
-    counted = pairs.groupBy("word", "context").agg(F.count("*").alias("n"))
-    back = counted.select(F.col("context").alias("word"), F.col("word").alias("context"), "n")
-    both = counted.unionByName(back)
-    return both.groupBy("word", "context").agg(F.sum("n").alias("n"))
 
+def positive_pmi(pairs: DataFrame, least: int = 1, totals: DataFrame | None = None) -> DataFrame:
+    """``pmi`` of the pairs seen ``least`` times or more together, where it is above 0.
 
-def positive_pmi(pairs: DataFrame, least: int = 1) -> DataFrame:
-    """``pmi`` of the pairs seen ``least`` times or more together, where it is above 0."""
-    sums = pairs.groupBy("word").agg(F.sum("n").alias("total"))
+    ``totals`` (``word, total``) are the sums of all pairs of each word, where ``pairs`` does not hold them all.
+    """
+    sums = pairs.groupBy("word").agg(F.sum("n").alias("total")) if totals is None else totals
     whole = sums.agg(F.sum("total")).scalar()
     kept = pairs.filter(F.col("n") >= least)
     met = kept.join(sums.withColumnRenamed("total", "n_word"), "word")
@@ -58,6 +99,16 @@ def positive_pmi(pairs: DataFrame, least: int = 1) -> DataFrame:
     return met.select("word", "context", F.log(ratio).alias("pmi")).filter("pmi > 0")
 
 
+def pair_information(texts: DataFrame, text: str = "text", window: int = WINDOW, least: int = 1) -> DataFrame:
+    """``positive_pmi`` of the words of ``texts``: of all pairs, only those seen ``least`` times are ever stored."""
+    scratch: list[str] = []
+    lists = _token_lists(texts, text, scratch)
+    totals = stored(_totals(lists, window), "word-totals")
+    pairs = _counted_pairs(lists, window, least)
+    drop(texts.sparkSession, scratch)
+    return positive_pmi(pairs, least, totals)
+
+
 def _sums(rows: DataFrame, keys: list[str], entry, size: int) -> DataFrame:
     """Grouped sums of ``size`` entries, as one array ``v``."""
     found = rows.groupBy(*keys).agg(*(F.sum(entry(j)).alias(f"s{j}") for j in range(size)))
@@ -135,11 +186,9 @@ def fit_word_vectors(
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         # Cuts the lineage: the steps repeat joins over one matrix.
-        path = shared_dir(df.sparkSession, f"vectors-{name}-{uuid.uuid4().hex[:8]}")
-        df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        return stored(df, f"vectors-{name}")
 
-    matrix = keep(positive_pmi(keep(cooccurrences(texts, text, window), "pairs"), least), "pmi")
+    matrix = keep(pair_information(texts, text, window, least), "pmi")
     wide = size + OVERSAMPLING
     bits = F.xxhash64("context")
     # One hash gives a word's row of random signs.

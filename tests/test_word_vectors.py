@@ -11,6 +11,7 @@ from pyspark.ml.classification import NaiveBayes
 
 from crowdtape import plans
 from crowdtape.operators.terms import agreement
+from crowdtape.plans import word_vectors
 from crowdtape.plans.word_vectors import CountVectorizer
 
 SENTENCES = [
@@ -57,6 +58,25 @@ def test_pmi_and_vectors_are_those_of_numpy(spark, texts):
         assert np.abs(matrix @ column - value * column).max() < 0.02 * abs(value)
 
 
+@pytest.mark.parametrize("shares", [1, 3])
+def test_pairs_are_counted_in_shares_and_only_those_seen_often_are_kept(spark, texts, monkeypatch, shares):
+    monkeypatch.setattr(word_vectors, "COUNT_PAIRS", 1)
+    monkeypatch.setattr(word_vectors, "COUNT_PASSES", shares)
+    pairs = Counter()
+    for sentence in SENTENCES:
+        words = [w for w in sentence.split(" ") if w and not w.startswith("@")]
+        for at, word in enumerate(words):
+            for other in words[at + 1 : at + 6]:
+                pairs[word, other] += 1
+                pairs[other, word] += 1
+    found = plans.cooccurrences(texts, least=3)
+    assert {(r.word, r.context): r.n for r in found.collect()} == {p: n for p, n in pairs.items() if n >= 3}
+    # What is returned is read from the counted shares, and no pair is shuffled a second time.
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = {p: x for p, x in plain_pmi(SENTENCES).items() if pairs[p] >= 3}
+    assert {(r.word, r.context): r.pmi for r in plans.pair_information(texts, least=3).collect()} == pytest.approx(expected)
+
+
 def test_vectors_do_not_follow_the_partitioning(spark, texts):
     runs = []
     for parts in (1, 16):
