@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -36,9 +37,8 @@ PARTITIONS = 8
 # which also bounds the vocabulary that Spark holds on the driver and in every executor.
 MAX_TRAINING_ROWS = 50_000
 
-# Word vectors are trained in one task on these bounded rows: with more, Spark numbers words of
-# equal frequency in the order in which shuffle blocks arrive, and vectors differ from run to run.
-WORD_PARTITIONS = 1
+# Word vectors are trained in a task for each so many characters (about a million words) of the training rows.
+TASK_CHARACTERS = 6_000_000
 
 MODELS = ("forest", "perceptron", "bayes")
 
@@ -100,21 +100,29 @@ class Vectorizer:
         return scaled.withColumn("features", array_to_vector(inside))
 
 
+def _word_tasks(labeled: DataFrame, max_rows: int) -> int:
+    """Tasks for the word vectors of at most ``max_rows`` rows, by the mean length of all texts."""
+    found = labeled.agg(F.count("*").alias("rows"), F.sum(F.length("text")).alias("characters")).first()
+    share = min(1.0, max_rows / max(found.rows, 1))
+    return max(1, math.ceil((found.characters or 0) * share / TASK_CHARACTERS))
+
+
 def fit_vectorizer(
     labeled: DataFrame,
     size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
     seed: int = SEED,
-    num_partitions: int = WORD_PARTITIONS,
+    num_partitions: int | None = None,
     max_rows: int = MAX_TRAINING_ROWS,
 ) -> Vectorizer:
     """Fit word vectors and a 0..1 scaler on the ``text`` of at most ``max_rows`` rows.
 
-    Each of the ``num_partitions`` sends a copy of the vectors once per iteration,
-    so the shuffle does not grow with the cores; only one gives equal vectors on
-    every run.
+    Each of the ``num_partitions`` sends a copy of its words' vectors once per iteration; without a
+    number it follows the length of the texts, whatever cores there are. One task gives equal vectors
+    on every run. With more, they differ a little from run to run: Spark numbers words of equal frequency in the
+    order in which shuffle blocks arrive, and tasks of one executor train the same arrays.
     """
-    tasks = num_partitions
+    tasks = num_partitions or _word_tasks(labeled, max_rows)
     words = _with_words(_training_rows(labeled.select("text"), tasks, max_rows)).select("words")
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -156,6 +156,17 @@ def test_features_do_not_follow_the_partitioning(labeled):
     assert first(labeled.repartition(2)) == first(labeled.repartition(7))
 
 
+def test_word_vectors_are_trained_in_more_tasks_for_longer_texts(labeled, monkeypatch):
+    assert plans.fit_vectorizer(labeled, size=4).word2vec.getNumPartitions() == 1
+    monkeypatch.setattr(mood, "TASK_CHARACTERS", 400)
+    fitted = plans.fit_vectorizer(labeled, size=4)
+    assert fitted.word2vec.getNumPartitions() == 3
+    assert plans.fit_vectorizer(labeled, size=4, max_rows=20).word2vec.getNumPartitions() == 1
+    words = {r.word for r in fitted.word2vec.getVectors().collect()}
+    assert words == {w for r in labeled.collect() for w in r.text.split(" ")}
+    assert values(fitted.transform(labeled)) == (pytest.approx(0.0), pytest.approx(1.0))
+
+
 def test_training_rows_are_bounded(labeled):
     assert mood._training_rows(labeled, 3, 7).count() == 7
     assert mood._training_rows(labeled, 3).rdd.getNumPartitions() == 3
