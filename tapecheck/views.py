@@ -36,12 +36,6 @@ def with_document(spark: SparkSession, sf_dir: str, some_posts: DataFrame, docum
     return documents.join(numbered, "doc_id").drop("doc_id")
 
 
-def with_text(spark: SparkSession, sf_dir: str, some_posts: DataFrame) -> DataFrame:
-    """Add ``text`` to posts."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_document(spark, sf_dir, some_posts, documents)
-
-
 def _daily_ohlc(trades: DataFrame, keys: list[str]) -> DataFrame:
     """Event numbers are in time order, so the lowest is the first trade of the day."""
     return trades.groupBy(*keys).agg(

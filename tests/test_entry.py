@@ -30,6 +30,18 @@ def test_entry(spark):
     assert df.columns[0] == "date" and df.count() == 21
 
 
+def test_ensemble_scores_each_document_once(spark, sf_dir, monkeypatch):
+    from crowdtape import plans
+
+    scored = []
+    score = plans.score_moods
+    monkeypatch.setattr(plans, "score_moods", lambda posts, *rest: scored.append(posts.count()) or score(posts, *rest))
+    found = registry.ensemble_predictions(spark, sf_dir)
+    documents, posts = (spark.read.parquet(f"{sf_dir}/{name}.parquet").count() for name in ("documents", "events"))
+    assert scored == [documents] and posts > documents
+    assert found.count() == posts and found.select("id").distinct().count() == posts
+
+
 MODELS = {"cv_forest", "cv_direction", "fit_forest", "word2vec_features", "fit_mlp", "fit_nb", "ensemble_predictions"}
 NO_SQL = {"count_vector_features"}
 # Written by a stream, whose batches a Python function of the driver takes.
