@@ -25,16 +25,17 @@ OVERSAMPLING = 10
 STEPS = 2
 #: Pairs seen fewer times say more about chance than about words, and are most of all pairs.
 LEAST = 2
-#: Pairs are shuffled in shares of so many, in at most so many shares.
-COUNT_PAIRS, COUNT_PASSES = 50_000_000, 8
+#: Pairs are shuffled in passes of so many, in at most so many passes, told apart by one of so many shares of each word.
+COUNT_PAIRS, COUNT_PASSES, SHARES = 50_000_000, 8, 64
 #: Words whose vectors are broadcast at most, a few hundred MB; beyond, texts meet them in a join.
 BROADCAST_WORDS = 200_000
 
 
 def _token_lists(texts: DataFrame, text: str, scratch: list[str]) -> DataFrame:
-    """``words``, the tokens of each text, worked out once."""
+    """``words``, the tokens of each text, and ``shares``, a small number by the hash of each: worked out once."""
     lists = texts.filter(F.col(text).isNotNull()).select(tokens(F.col(text)).alias("words"))
-    return stored(lists, "token-lists", scratch)
+    share = F.transform("words", lambda word: F.pmod(F.xxhash64(word), F.lit(SHARES)).cast("byte"))
+    return stored(lists.select("words", share.alias("shares")), "token-lists", scratch)
 
 
 def _totals(lists: DataFrame, window: int) -> DataFrame:
@@ -49,21 +50,23 @@ def _counted_pairs(lists: DataFrame, window: int, least: int) -> DataFrame:
     """``word``, ``context`` and ``n`` of the pairs seen ``least`` times or more, both ways; a stored table.
 
     A pair is counted under one string, whichever of its words comes first. Pairs are
-    dealt into shares by a hash, and one share is shuffled after the other, so
-    that shuffle files hold one share at most; of each, only what was seen often enough is kept.
+    dealt into passes by the sum of their words' shares, and one pass is shuffled after the other, so
+    that shuffle files hold one pass at most; of each, only what was seen often enough is kept.
     """
     number = lists.agg(F.sum(F.size("words"))).first()[0] or 0
     passes = max(1, min(COUNT_PASSES, -(-number * window // COUNT_PAIRS)))
     # Rows of a place and a gap, not arrays of pairs: all of it is compiled into one loop.
     gaps = F.explode(F.array(*(F.lit(gap) for gap in range(1, window + 1)))).alias("gap")
-    placed = lists.select("words", F.posexplode("words").alias("at", "word")).select("*", gaps)
-    other = F.get("words", F.col("at") + F.col("gap"))
-    met = placed.select("word", other.alias("context")).filter("context IS NOT NULL")
-    pairs = met.select(F.concat(F.least("word", "context"), F.lit(" "), F.greatest("word", "context")).alias("pair"))
+    placed = lists.select("*", F.posexplode("words").alias("at", "word")).select("*", gaps)
+    there = F.col("at") + F.col("gap")
+    placed = placed.filter(there < F.size("words"))
+    share = F.get("shares", F.col("at")).cast("int") + F.get("shares", there).cast("int")
+    word, context = F.col("word"), F.get("words", there)
+    pair = F.concat(F.least(word, context), F.lit(" "), F.greatest(word, context)).alias("pair")
     parts = []
     for part in range(passes):
-        own = pairs.filter(F.pmod(F.xxhash64("pair"), F.lit(passes)) == part) if passes > 1 else pairs
-        counted = own.groupBy("pair").agg(F.count("*").alias("n"))
+        own = placed.filter(F.pmod(share, F.lit(passes)) == part) if passes > 1 else placed
+        counted = own.select(pair).groupBy("pair").agg(F.count("*").alias("n"))
         # A token holds no blank.
         ends = counted.select(F.split("pair", " ").alias("pair"), "n").select(
             F.col("pair")[0].alias("a"), F.col("pair")[1].alias("b"), "n"
