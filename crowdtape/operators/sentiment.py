@@ -89,7 +89,7 @@ def score(
         .groupBy("token")
         .agg(F.sum("polarity").alias("_polarity"))
     )
-    words = _word_rows(hashed, text, keys)
+    words = _word_rows(hashed.withColumn("_row", F.monotonically_increasing_id()), text, [*keys, "_row"])
     if merged.count() <= broadcast_limit:
         matched = words.join(F.broadcast(merged), "token")
     else:
@@ -152,25 +152,26 @@ def _inline_total(text: Column, lexicon: Mapping[str, int]) -> Column:
 
 
 def _word_rows(posts: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """One row per token, with its place, the number of its sentence and that sentence's size."""
+    """One row per token, with the number of its sentence and that sentence's size."""
     by_sentence = posts.select(*keys, F.posexplode(sentence_tokens(F.col(text))))
     return by_sentence.select(
         *keys,
         F.col("pos").alias("_sentence"),
         F.size("col").alias("_words"),
-        F.posexplode("col").alias("_place", "token"),
+        F.explode("col").alias("token"),
     )
 
 
 def _post_totals(matched: DataFrame, keys: list[str]) -> DataFrame:
     """Sum per text from its tokens with a polarity; texts without one do not come out."""
-    # Rows with equal texts bring equal tokens, which count once.
-    once = matched.dropDuplicates([*keys, "_sentence", "_words", "_place"])
-    by_sentence = once.groupBy(*keys, "_sentence", "_words").agg(
+    # A row's tokens come from one task, which adds them up before anything is sent.
+    by_sentence = matched.groupBy(*keys, "_row", "_sentence", "_words").agg(
         F.sum("_polarity").alias("_polarity")
     )
     part = weighted(F.col("_words"), sentence_polarity(F.col("_polarity")))
-    return by_sentence.groupBy(*keys).agg(F.sum(part).alias("_total"))
+    by_row = by_sentence.groupBy(*keys, "_row").agg(F.sum(part).alias("_total"))
+    # Rows with equal texts have equal sums, of which one counts.
+    return by_row.groupBy(*keys).agg(F.max("_total").alias("_total"))
 
 
 def score_with(

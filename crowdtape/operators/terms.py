@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crowdtape.functions.scores import NEUTRAL
 from crowdtape.operators.sentiment import sentence_tokens
+from crowdtape.session import stored
 
 #: Terms of a model that are broadcast at most; a larger one is joined by its terms.
 BROADCAST_TERMS = 1_000_000
@@ -114,7 +115,8 @@ def learn_lexicon(
 
     The log-odds of a term among positive and negative texts are compared under a
     Dirichlet prior with the frequencies of the whole corpus; terms within ``cut``
-    standard errors of equal odds are left out. A text counts a term once.
+    standard errors of equal odds are left out. A text counts a term once. The terms are
+    counted at once, into a table of the shared folder.
     """
     known = labeled.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
     held = known.select(label, F.explode(F.array_distinct(text_terms(F.col(text)))).alias("token"))
@@ -123,6 +125,8 @@ def learn_lexicon(
         F.count(F.when(F.col(label) == positive, 1)).alias("p"),
         F.count(F.when(F.col(label) == negative, 1)).alias("m"),
     )
+    # A row a term; the sums, the lexicon and whoever sizes it read these rows, and the texts are split once.
+    counts = stored(counts, "term-counts")
     sums = counts.agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum("m").alias("m"))
     total = {c: F.coalesce(sums.select(c).scalar(), F.lit(0)) for c in "npm"}
     weight = F.lit(prior) * F.col("n") / total["n"]

@@ -171,3 +171,20 @@ def test_a_model_too_large_to_broadcast(spark, monkeypatch):
     monkeypatch.setitem(ops.predict_terms.__globals__, "BROADCAST_TERMS", 0)
     assert sorted(map(str, ops.predict_terms(unseen, model).collect())) == small
     assert ops.predict_terms(unseen.select(F.lit("a").alias("text"), "label"), model).count() == unseen.count()
+
+
+def test_texts_are_split_once_for_a_learned_lexicon(spark):
+    rows = [(2.0 * (n % 2), f"{'good' if n % 2 else 'bad'} day. {n}") for n in range(40)]
+    lexicon = ops.learn_lexicon(spark.createDataFrame(rows, "label double, text string"))
+    # Counted terms are read; no text is split again by whoever sizes or broadcasts the lexicon.
+    assert "split" not in lexicon._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_joined_scores_send_no_single_tokens(spark):
+    posts = spark.createDataFrame([("good good day. bad",), ("good good day. bad",), ("bad bad",), (None,)], "text string")
+    lexicon = {"good": 2, "bad": -1}
+    plain = sorted(str(r.sentiment) for r in ops.score(posts, lexicon).collect())
+    for limits in ({"inline_limit": 0}, {"inline_limit": 0, "broadcast_limit": 0}):
+        joined = ops.score(posts, lexicon, **limits)
+        assert sorted(str(r.sentiment) for r in joined.collect()) == plain
+        assert "_place" not in joined._jdf.queryExecution().optimizedPlan().toString()
