@@ -119,6 +119,29 @@ def test_near_copies_find_an_early_match_without_all_pairs(spark):
     assert {r.doc_id: r.removed_lines for r in gone.collect()} == brute_lines(rows)
 
 
+def _keyed_lines(docs):
+    lines = line_dedup._lines(docs)
+    ordered = F.sort_array("words")
+    return lines.select("*", F.xxhash64(ordered).alias("k1"), F.xxhash64(F.lit(1), ordered).alias("k2"))
+
+
+def test_line_plans_do_not_spell_out_the_levels(spark):
+    lines = _keyed_lines(spark.createDataFrame([(1, "a b c"), (2, "a b d")], "doc_id bigint, text string"))
+    plan = line_dedup._classes(lines, line_dedup._levels(lines))._jdf.queryExecution().toString()
+    assert len(plan) < 100_000
+
+
+def test_similar_lines_meet_once_and_copies_are_led_by_one(spark):
+    words = [f"w{i}" for i in range(20)]
+    texts = [" ".join(words[:i] + [f"x{n}"] + words[i + 1 :]) for n, i in enumerate(k % 20 for k in range(60))]
+    lines = _keyed_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    classes = line_dedup._classes(lines, line_dedup._levels(lines)).withColumn("open", F.lit(True)).cache()
+    met = [r for part in range(line_dedup.PASSES) for r in line_dedup._candidates(classes, part, False).collect()]
+    # Prefixes of four shared words: a pair has shared up to four of them, in two runs at most a pass.
+    assert len(met) <= 1.5 * len(set(met))
+    assert {r.n for r in line_dedup._led(classes).groupBy("a").agg(F.count("*").alias("n")).collect()} == {1}
+
+
 def test_line_dedup_keeps_rows_and_columns(awkward, empty):
     got = line_dedup.dedup_lines(awkward)
     assert got.columns == awkward.columns and got.count() == len(AWKWARD)
