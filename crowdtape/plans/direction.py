@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 
 from crowdtape.operators.folds import fold_column
+from crowdtape.session import drop, stored
 
 FEATURES = ("post_count", "sum_shares", "sum_likes", "total_sentiment")
 
@@ -53,10 +54,13 @@ def cross_validate(
     """Fit and evaluate ``estimator`` on each of ``k`` folds of (key, label, features).
 
     ``avgMetrics[0]`` of the result is the mean over the folds. The input is
-    kept in memory or on disk meanwhile, since each fold reads it; lost blocks
-    are computed again.
+    written once and kept in memory or on disk meanwhile, since each fold reads
+    it; lost blocks are read again. A written table has as many partitions as its
+    bytes need: those of the shuffle before it would each cost a task in every job
+    of a fold, however few rows they hold.
     """
-    folds = fold_column(df, key, k, seed).select("fold", "label", "features")
+    scratch: list[str] = []
+    folds = stored(fold_column(df, key, k, seed).select("fold", "label", "features"), "folds", scratch)
     folds = folds.persist(StorageLevel.MEMORY_AND_DISK)
     validator = CrossValidator(
         estimator=estimator or forest(),
@@ -70,3 +74,4 @@ def cross_validate(
         return validator.fit(folds)
     finally:
         folds.unpersist()
+        drop(df.sparkSession, scratch)
