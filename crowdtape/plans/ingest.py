@@ -68,7 +68,7 @@ def sync_posts(spark: SparkSession, raw_path: str | list[str], snapshot_path: st
 
     A manifest of the store names its files with length and time. New files are parsed
     by a file stream that remembers what it has read, and their posts are merged into
-    the store: only months they touch are rewritten. Changed or removed files, other
+    the store: months that lose rows are rewritten, those that get some get files more. Changed or removed files, other
     options, or a merge that did not end lead to a new generation, which replaces the
     old one once it is whole. Where no raw file is left, the store stands as it is.
     """
@@ -201,18 +201,17 @@ def _merge(spark: SparkSession, root: str, delta: DataFrame, batch: str) -> None
 def _write_months(
     spark: SparkSession, root: str, stored: DataFrame | None, fresh: DataFrame, superseded: DataFrame | None
 ) -> None:
-    """Rewrite the months that get or lose rows; their stored rows stay where they are, without a shuffle."""
-    content = fresh.hint("rebalance", "month")
-    if stored is not None:
-        touched = fresh.select("month")
-        if superseded is not None:
-            touched = touched.unionByName(superseded.select(month_of(F.col("date")).alias("month")))
-        months = [row.month for row in touched.distinct().collect()]
-        kept = stored.filter(F.col("month").isin(months))
-        if superseded is not None:
-            kept = kept.join(superseded.select("id"), "id", "left_anti")
-        content = kept.select(*STORED.fieldNames()).unionByName(content)
-    overwrite_partitions(content, f"{root}/posts", ["month"])
+    """Rewrite the months that lose rows, without a shuffle of their stored ones, and add files to those that only get some."""
+    if superseded is not None:
+        losing = superseded.select(month_of(F.col("date")).alias("month")).distinct()
+        again = F.col("month").isin([row.month for row in losing.collect()])
+        kept = stored.filter(again).join(superseded.select("id"), "id", "left_anti")
+        content = kept.select(*STORED.fieldNames()).unionByName(fresh.filter(again).hint("rebalance", "month"))
+        overwrite_partitions(content, f"{root}/posts", ["month"])
+        fresh = fresh.filter(~again)
+    # A merge that does not end leads to a new generation, so that no rows are added twice.
+    added = fresh.hint("rebalance", "month").write.mode("overwrite" if stored is None else "append")
+    added.option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{root}/posts")
 
 
 def _write_filter(spark: SparkSession, root: str, fresh: DataFrame, batch: str, blocks: int) -> None:

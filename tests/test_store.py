@@ -117,6 +117,18 @@ def test_a_delta_rewrites_the_months_it_touches(spark, raw, tmp_path):
     assert rows(plans.read_posts(spark, path)) == rows(whole(spark, raw)[0])
 
 
+def test_months_that_only_get_posts_keep_their_files(spark, raw, tmp_path):
+    path = str(tmp_path / "posts")
+    write(raw / "a.csv", [line(n, DAYS[n % 8]) for n in range(40)])
+    plans.sync_posts(spark, f"{raw}/*", path)
+    month = f"{plans.ingest._root(spark, path)}/posts/month={DAYS[0]:%Y-%m}"
+    before = {f for f in os.listdir(month) if f.endswith(".parquet")}
+    write(raw / "b.csv", [line(100, DAYS[0])])
+    assert plans.sync_posts(spark, f"{raw}/*", path) == "grown"
+    assert before < set(os.listdir(month))
+    assert rows(plans.read_posts(spark, path)) == rows(whole(spark, raw)[0])
+
+
 def test_days_prune_months(spark, raw, tmp_path):
     path = str(tmp_path / "posts")
     write(raw / "a.csv", [line(n, DAYS[n % 8]) for n in range(40)])
