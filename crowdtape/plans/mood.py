@@ -30,12 +30,10 @@ LAYERS = (50, 100, 80, 100, 3)
 BLOCK_SIZE = 128
 MAX_ITERATIONS = 100
 
-# Training rows go to this many partitions on any machine: results follow the partitioning.
+# Training rows go to this many partitions at least on any machine, one for each so many of them beyond: results
+# follow the partitioning.
 PARTITIONS = 8
-
-# The models are fitted on at most this many labelled rows, those of the smallest hashes,
-# which also bounds the vocabulary that Spark holds on the driver and in every executor.
-MAX_TRAINING_ROWS = 50_000
+PARTITION_ROWS = 6_250
 
 # Word vectors are trained in a task for each so many characters (about a million words) of the training rows.
 TASK_CHARACTERS = 6_000_000
@@ -47,27 +45,30 @@ def _with_words(df: DataFrame) -> DataFrame:
     return df.withColumn("words", tokens(F.col("text")))
 
 
-def _training_rows(
-    labeled: DataFrame, partitions: int = PARTITIONS, max_rows: int = MAX_TRAINING_ROWS
-) -> DataFrame:
-    """A bounded set of rows in one order and partitioning, whatever files and cores there are.
+def _bounded(labeled: DataFrame, max_rows: int | None) -> DataFrame:
+    """All rows, or the ``max_rows`` of the smallest hashes.
 
     The bound is a cut through two hashes of each row, of which alone the smallest
     meet in one task; the rows pass a filter. Rows with the hashes of the cut are
     equal, so one of them is repeated as often as it takes.
     """
-    order = [F.xxhash64("text"), *labeled.columns]
+    if max_rows is None:
+        return labeled
     hashes = F.struct(F.xxhash64("text").alias("text"), F.xxhash64(*labeled.columns).alias("row"))
     least = labeled.select(hashes.alias("h")).orderBy("h").limit(max_rows)
     cut = least.groupBy("h").count().orderBy(F.desc("h")).first()
     if cut is None:
-        bounded = labeled.limit(0)
-    else:
-        at = F.struct(F.lit(cut.h.text).cast("long").alias("text"), F.lit(cut.h.row).cast("long").alias("row"))
-        copies = F.explode(F.array_repeat(F.lit(0), cut["count"])).alias("_copy")
-        last = labeled.where(hashes == at).limit(1).select("*", copies).drop("_copy")
-        bounded = labeled.where(hashes < at).unionByName(last)
-    return bounded.repartition(partitions, F.xxhash64("text")).sortWithinPartitions(*order)
+        return labeled.limit(0)
+    at = F.struct(F.lit(cut.h.text).cast("long").alias("text"), F.lit(cut.h.row).cast("long").alias("row"))
+    copies = F.explode(F.array_repeat(F.lit(0), cut["count"])).alias("_copy")
+    last = labeled.where(hashes == at).limit(1).select("*", copies).drop("_copy")
+    return labeled.where(hashes < at).unionByName(last)
+
+
+def _training_rows(labeled: DataFrame, partitions: int = PARTITIONS, max_rows: int | None = None) -> DataFrame:
+    """All rows, or ``max_rows`` of them, in one order and partitioning, whatever files and cores there are."""
+    order = [F.xxhash64("text"), *labeled.columns]
+    return _bounded(labeled, max_rows).repartition(partitions, F.xxhash64("text")).sortWithinPartitions(*order)
 
 
 def _scaler() -> MinMaxScaler:
@@ -100,10 +101,10 @@ class Vectorizer:
         return scaled.withColumn("features", array_to_vector(inside))
 
 
-def _word_tasks(labeled: DataFrame, max_rows: int) -> int:
-    """Tasks for the word vectors of at most ``max_rows`` rows, by the mean length of all texts."""
+def _word_tasks(labeled: DataFrame, max_rows: int | None) -> int:
+    """Tasks for the word vectors of all rows, or of ``max_rows`` of them, by the mean length of all texts."""
     found = labeled.agg(F.count("*").alias("rows"), F.sum(F.length("text")).alias("characters")).first()
-    share = min(1.0, max_rows / max(found.rows, 1))
+    share = 1.0 if max_rows is None else min(1.0, max_rows / max(found.rows, 1))
     return max(1, math.ceil((found.characters or 0) * share / TASK_CHARACTERS))
 
 
@@ -113,9 +114,9 @@ def fit_vectorizer(
     min_count: int = MIN_COUNT,
     seed: int = SEED,
     num_partitions: int | None = None,
-    max_rows: int = MAX_TRAINING_ROWS,
+    max_rows: int | None = None,
 ) -> Vectorizer:
-    """Fit word vectors and a 0..1 scaler on the ``text`` of at most ``max_rows`` rows.
+    """Fit word vectors and a 0..1 scaler on the ``text`` of all rows, or of at most ``max_rows``.
 
     Each of the ``num_partitions`` sends a copy of its words' vectors once per iteration; without a
     number it follows the length of the texts, whatever cores there are. One task gives equal vectors
@@ -123,7 +124,8 @@ def fit_vectorizer(
     order in which shuffle blocks arrive, and tasks of one executor train the same arrays.
     """
     tasks = num_partitions or _word_tasks(labeled, max_rows)
-    words = _with_words(_training_rows(labeled.select("text"), tasks, max_rows)).select("words")
+    bound = {} if max_rows is None else {"max_rows": max_rows}
+    words = _with_words(_training_rows(labeled.select("text"), tasks, **bound)).select("words")
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         word2vec = Word2Vec(
@@ -140,7 +142,7 @@ def fit_vectorizer(
 
 
 def word2vec_features(labeled: DataFrame, **options: int) -> DataFrame:
-    """All labelled posts with their own ``features``; only the fit is on bounded rows."""
+    """All labelled posts with their own ``features``; ``max_rows`` bounds the fit alone."""
     return fit_vectorizer(labeled, **options).transform(labeled)
 
 
@@ -184,15 +186,17 @@ def fit_mood_models(
     labeled: DataFrame,
     vectorizer: Vectorizer | None = None,
     classifiers: tuple[Estimator, ...] | None = None,
-    max_rows: int = MAX_TRAINING_ROWS,
+    max_rows: int | None = None,
 ) -> MoodModels:
-    """Fit forest, perceptron and naive Bayes on at most ``max_rows`` labelled posts.
+    """Fit forest, perceptron and naive Bayes on all labelled posts, or on at most ``max_rows``.
 
     The vectors are kept in memory or on disk while the three models, which
     pass over them many times, are fitted.
     """
     vectorizer = vectorizer or fit_vectorizer(labeled, max_rows=max_rows)
-    rows = _training_rows(labeled, max_rows=max_rows)
+    number = labeled.count() if max_rows is None else max_rows
+    bound = {} if max_rows is None else {"max_rows": max_rows}
+    rows = _training_rows(labeled, max(PARTITIONS, math.ceil(number / PARTITION_ROWS)), **bound)
     training = vectorizer.transform(rows).select("label", "features")
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:

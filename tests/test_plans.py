@@ -239,3 +239,23 @@ def test_shared_dir_follows_the_cluster_setting(spark):
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session(None, "yarn"), "features")
+
+
+def test_vectors_and_models_are_fitted_on_all_rows_without_a_bound(spark, monkeypatch):
+    import inspect
+
+    assert not hasattr(mood, "MAX_TRAINING_ROWS")
+    for fit in (plans.fit_vectorizer, plans.fit_mood_models):
+        assert inspect.signature(fit).parameters["max_rows"].default is None
+    rows = [(float(n % 3), f"word{n}", str(n)) for n in range(51_000)]
+    labeled = spark.createDataFrame(rows, "label double, text string, id string")
+    assert mood._training_rows(labeled).count() == 51_000
+    seen = []
+
+    class Watching:
+        def fit(self, training):
+            seen.append((training.count(), training.rdd.getNumPartitions()))
+
+    same = SimpleNamespace(transform=lambda df: df.withColumn("features", F.lit(0.0)))
+    plans.fit_mood_models(labeled, same, (Watching(),))
+    assert seen == [(51_000, 9)]
