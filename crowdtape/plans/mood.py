@@ -12,15 +12,15 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import MinMaxScaler, MinMaxScalerModel, Word2Vec, Word2VecModel
+from pyspark.ml.feature import MinMaxScaler, MinMaxScalerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdtape.functions.text import tokens
 from crowdtape.operators.sampling import cap_per_group
 from crowdtape.operators.votes import vote
 from crowdtape.plans.direction import SEED, TREES
+from crowdtape.plans.skip_gram import SkipGrams, fit_skip_grams
 
 # Vector size and word frequency limit of the word vectors;
 # layers, rows per block and iterations of the perceptron.
@@ -41,10 +41,6 @@ TASK_CHARACTERS = 6_000_000
 MODELS = ("forest", "perceptron", "bayes")
 
 
-def _with_words(df: DataFrame) -> DataFrame:
-    return df.withColumn("words", tokens(F.col("text")))
-
-
 def _bounded(labeled: DataFrame, max_rows: int | None) -> DataFrame:
     """All rows, or the ``max_rows`` of the smallest hashes.
 
@@ -67,7 +63,7 @@ def _bounded(labeled: DataFrame, max_rows: int | None) -> DataFrame:
 
 def _training_rows(labeled: DataFrame, partitions: int = PARTITIONS, max_rows: int | None = None) -> DataFrame:
     """All rows, or ``max_rows`` of them, in one order and partitioning, whatever files and cores there are."""
-    order = [F.xxhash64("text"), *labeled.columns]
+    order = [F.xxhash64("text"), F.xxhash64(*labeled.columns)]
     return _bounded(labeled, max_rows).repartition(partitions, F.xxhash64("text")).sortWithinPartitions(*order)
 
 
@@ -79,7 +75,7 @@ def _scaler() -> MinMaxScaler:
 class Vectorizer:
     """Fitted word vectors and the scaler fitted on the same texts."""
 
-    word2vec: Word2VecModel
+    word2vec: SkipGrams
     scaler: MinMaxScalerModel
 
     def transform(self, df: DataFrame, refit_scaler: bool = False) -> DataFrame:
@@ -90,9 +86,9 @@ class Vectorizer:
         ones. ``refit_scaler`` takes them from ``df`` itself, at the price of one
         more pass over it.
         """
-        vectors = self.word2vec.transform(_with_words(df))
+        vectors = self.word2vec.transform(df)
         scaler = _scaler().fit(vectors) if refit_scaler else self.scaler
-        scaled = scaler.transform(vectors).drop("words", "vector")
+        scaled = scaler.transform(vectors).drop("vector")
         if refit_scaler:
             return scaled
         inside = F.transform(
@@ -118,27 +114,13 @@ def fit_vectorizer(
 ) -> Vectorizer:
     """Fit word vectors and a 0..1 scaler on the ``text`` of all rows, or of at most ``max_rows``.
 
-    Each of the ``num_partitions`` sends a copy of its words' vectors once per iteration; without a
-    number it follows the length of the texts, whatever cores there are. One task gives equal vectors
-    on every run. With more, they differ a little from run to run: Spark numbers words of equal frequency in the
-    order in which shuffle blocks arrive, and tasks of one executor train the same arrays.
+    Words are trained by ``num_partitions`` tasks, without a number by one for each so many characters; vectors
+    follow this number and the texts, and nothing else. No task and not the driver holds all words.
     """
     tasks = num_partitions or _word_tasks(labeled, max_rows)
-    bound = {} if max_rows is None else {"max_rows": max_rows}
-    words = _with_words(_training_rows(labeled.select("text"), tasks, **bound)).select("words")
-    words = words.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        word2vec = Word2Vec(
-            inputCol="words",
-            outputCol="vector",
-            vectorSize=size,
-            minCount=min_count,
-            seed=seed,
-            numPartitions=tasks,
-        ).fit(words)
-        return Vectorizer(word2vec, _scaler().fit(word2vec.transform(words)))
-    finally:
-        words.unpersist()
+    rows = _bounded(labeled, max_rows)
+    word2vec = fit_skip_grams(rows, size, min_count, seed, tasks)
+    return Vectorizer(word2vec, _scaler().fit(word2vec.transform(rows)))
 
 
 def word2vec_features(labeled: DataFrame, **options: int) -> DataFrame:
@@ -194,10 +176,11 @@ def fit_mood_models(
     pass over them many times, are fitted.
     """
     vectorizer = vectorizer or fit_vectorizer(labeled, max_rows=max_rows)
-    number = labeled.count() if max_rows is None else max_rows
-    bound = {} if max_rows is None else {"max_rows": max_rows}
-    rows = _training_rows(labeled, max(PARTITIONS, math.ceil(number / PARTITION_ROWS)), **bound)
-    training = vectorizer.transform(rows).select("label", "features")
+    rows = _bounded(labeled, max_rows)
+    partitions = max(PARTITIONS, math.ceil(rows.count() / PARTITION_ROWS))
+    # Ordered by a hash of the text, so that no text is sorted.
+    narrow = vectorizer.transform(rows).select("label", F.xxhash64("text").alias("text"), "features")
+    training = _training_rows(narrow, partitions).select("label", "features")
     training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         estimators = classifiers or (mood_forest(), perceptron(), naive_bayes())

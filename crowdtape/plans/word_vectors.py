@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from crowdtape.functions.text import tokens
 from crowdtape.session import drop, stored
@@ -27,8 +28,8 @@ STEPS = 2
 LEAST = 2
 #: Pairs are shuffled in passes of so many, in at most so many passes, told apart by one of so many shares of each word.
 COUNT_PAIRS, COUNT_PASSES, SHARES = 50_000_000, 8, 64
-#: Words whose vectors are broadcast at most, a few hundred MB; beyond, texts meet them in a join.
-BROADCAST_WORDS = 200_000
+#: Characters of the texts whose words' vectors one task holds, and words of texts that are added up at a time.
+MEAN_CHARACTERS, MEAN_WORDS = 24_000_000, 1 << 16
 
 
 def _token_lists(texts: DataFrame, text: str, scratch: list[str]) -> DataFrame:
@@ -118,11 +119,6 @@ def _sums(rows: DataFrame, keys: list[str], entry, size: int) -> DataFrame:
     return found.select(*keys, F.array(*(F.col(f"s{j}") for j in range(size))).alias("v"))
 
 
-def _matrix(column):
-    """An Arrow column of arrays of one length as a matrix."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
 def _products(rows: DataFrame, left: str, right: str, size: int):
     """``sum(left_i * right_j)`` over all rows, a small matrix: summed in tasks, then by Spark."""
     import numpy as np
@@ -133,7 +129,7 @@ def _products(rows: DataFrame, left: str, right: str, size: int):
         total = np.zeros((size, size))
         for batch in batches:
             if batch.num_rows:
-                total += _matrix(batch.column(0)).T @ _matrix(batch.column(1))
+                total += as_matrix(batch.column(0)).T @ as_matrix(batch.column(1))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size * size)), pa.array(total.ravel())], ["place", "x"])
 
     parts = rows.select(F.col(left), F.col(right).alias("_right")).mapInArrow(part, "place bigint, x double")
@@ -143,19 +139,16 @@ def _products(rows: DataFrame, left: str, right: str, size: int):
     return matrix.reshape(size, size)
 
 
-def _turned(rows: DataFrame, column: str, matrix, output: str) -> DataFrame:
+def _turned(rows: DataFrame, column: str, by, output: str) -> DataFrame:
     """``word`` and the array ``column`` times a small matrix."""
 
     def turn(batches):
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             if batch.num_rows:
-                found = _matrix(batch.column(1)) @ matrix
-                places = pa.array(np.arange(len(found) + 1) * matrix.shape[1], pa.int32())
-                arrays = pa.ListArray.from_arrays(places, pa.array(found.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), arrays], ["word", output])
+                found = list_array(as_matrix(batch.column(1)) @ by)
+                yield pa.RecordBatch.from_arrays([batch.column(0), found], ["word", output])
 
     return rows.select("word", column).mapInArrow(turn, f"word string, {output} array<double>")
 
@@ -216,32 +209,114 @@ def fit_word_vectors(
     return keep(_turned(vectors, "v", signs, "vector"), "words")
 
 
+def dealt(rows: DataFrame, tasks: int):
+    """The column ``task``: a hash of each row, so that equal texts of different rows are spread."""
+    columns = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*columns), F.lit(tasks)).cast("int").alias("task")
+
+
+def as_matrix(column):
+    """An Arrow column of arrays of one length as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def list_array(rows):
+    """The reverse."""
+    import numpy as np
+    import pyarrow as pa
+
+    places = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
+    return pa.ListArray.from_arrays(places, pa.array(rows.ravel()))
+
+
+def packed(rows):
+    """An Arrow column of the rows of a matrix: the largest size of an entry, then 16-bit shares of it."""
+    import numpy as np
+    import pyarrow as pa
+
+    most = np.abs(rows).max(1, initial=0).astype("<f4")
+    shares = np.rint(rows / np.where(most > 0, most, 1)[:, None] * 32767).astype("<i2")
+    data = np.concatenate([most[:, None].view(np.uint8), shares.view(np.uint8)], axis=1)
+    places = np.arange(len(rows) + 1, dtype=np.int32) * data.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(places), pa.py_buffer(data.tobytes())])
+
+
+def unpacked(column):
+    """The rows of ``packed``, or of a column of arrays."""
+    import numpy as np
+    import pyarrow as pa
+
+    if not pa.types.is_binary(column.type):
+        return as_matrix(column)
+    data = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    most = np.ascontiguousarray(data[:, :4]).view("<f4")
+    return np.ascontiguousarray(data[:, 4:]).view("<i2") * (most / np.float32(32767))
+
+
+def _mean_of_words(size: int):
+    """Means of the texts of one task, which come after the vectors of their words."""
+
+    def means(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        names, held, words, vectors = [], [], None, None
+        for batch in batches:
+            known = pc.is_valid(batch.column("word"))
+            if (own := batch.filter(known)).num_rows:
+                names.append(own.column("word"))
+                held.append(unpacked(own.column("v")))
+            texts = batch.filter(pc.invert(known))
+            if not texts.num_rows:
+                continue
+            if words is None:
+                words = pa.chunked_array(names, pa.string()).combine_chunks()
+                # The last row is that of words without a vector.
+                vectors = np.concatenate([*held, np.zeros((1, size), held[0].dtype if held else np.float64)])
+                held.clear()
+            lists = texts.column("words")
+            ids = pc.index_in(lists.flatten(), value_set=words).fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            found = np.zeros((len(lists), size))
+            starts = np.concatenate([[0], ends[:-1]])
+            filled = np.flatnonzero(ends > starts)
+            low = 0
+            while low < len(filled):  # so many words at a time, or one text
+                high = max(low + 1, int(np.searchsorted(ends[filled], starts[filled[low]] + MEAN_WORDS, "right")))
+                some = filled[low:high]
+                at = starts[some] - starts[some[0]]
+                sums = np.add.reduceat(vectors[ids[starts[some[0]] : ends[some[-1]]]], at, dtype=np.float64)
+                found[some] = sums / (ends[some] - starts[some])[:, None]
+                low = high
+            column = list_array(found)
+            null = pc.is_null(lists)
+            if null.true_count:
+                column = pc.if_else(null, pa.scalar(None, column.type), column)
+            yield pa.RecordBatch.from_arrays([texts.column("row"), column], ["row", "vector"])
+
+    return means
+
+
 def mean_vectors(posts: DataFrame, vectors: DataFrame, size: int = VECTOR_SIZE, text: str = "text") -> DataFrame:
     """Add ``vector``, the mean of the vectors of a text's words (zeros for none, null for a null text).
 
-    Words without a vector count as zeros, as in Spark's ``Word2Vec``. Equal texts are
-    worked out once, under a 128-bit hash, and words are counted before they meet the
-    vectors.
+    Words without a vector count as zeros, as in Spark's ``Word2Vec``. Texts are dealt over
+    tasks, and a task gets the vectors of the words of its own texts, each once: no row is made
+    of a word of a text, and no table of all vectors is held in one place. Vectors are arrays or ``packed``.
     """
-    keys = ["_h1", "_h2"]
-    known = F.col(text).isNotNull()
-    hashed = posts.withColumns(
-        {
-            "_h1": F.when(known, F.xxhash64(text)),
-            "_h2": F.when(known, F.xxhash64(F.lit("second"), F.col(text))),
-        }
-    )
-    once = hashed.filter(known).select(*keys, text).dropDuplicates(keys)
-    words = once.select(*keys, F.explode(tokens(F.col(text))).alias("word"))
-    counted = words.groupBy(*keys, "word").agg(F.count("*").alias("times"))
-    few = vectors.count() <= BROADCAST_WORDS
-    met = counted.join(F.broadcast(vectors) if few else vectors, "word", "left")
-    entry = lambda j: F.coalesce(F.col("vector")[j], F.lit(0.0)) * F.col("times")
-    sums = met.groupBy(*keys).agg(F.sum("times").alias("_n"), *(F.sum(entry(j)).alias(f"_s{j}") for j in range(size)))
-    means = sums.select(*keys, F.array(*(F.col(f"_s{j}") / F.col("_n") for j in range(size))).alias("vector"))
-    zeros = F.array(*(F.lit(0.0) for _ in range(size)))
-    joined = hashed.join(means, keys, "left")
-    return joined.select(*posts.columns, F.when(known, F.coalesce("vector", zeros)).alias("vector"))
+    characters = posts.agg(F.sum(F.length(text))).first()[0] or 0
+    tasks = max(1, -(-characters // MEAN_CHARACTERS))
+    task = dealt(posts, tasks)
+    own = posts.filter(F.col(text).isNotNull()).select(task, F.explode(tokens(F.col(text))).alias("word")).distinct()
+    words = own.join(vectors.select("word", F.col("vector").alias("v")), "word").select("task", "word", "v")
+    rows = posts.select(task, F.struct(*posts.columns).alias("row"))
+    met = words.unionByName(rows, allowMissingColumns=True).repartitionById(tasks, "task")
+    met = met.sortWithinPartitions(F.col("word").isNull())
+    met = met.select("word", "v", "row", tokens(F.col("row")[text]).alias("words"))
+    schema = StructType([StructField("row", posts.schema), StructField("vector", ArrayType(DoubleType()))])
+    found = met.mapInArrow(_mean_of_words(size), schema)
+    return found.select("row.*", "vector")
 
 
 @dataclass(frozen=True)
@@ -274,5 +349,5 @@ def _range(means: DataFrame, size: int) -> tuple[list[float], list[float]]:
 def fit_count_vectorizer(labeled: DataFrame, size: int = VECTOR_SIZE, **options: int) -> CountVectorizer:
     """Word vectors of all texts of ``labeled`` and the range of their means."""
     vectors = fit_word_vectors(labeled, size, **options)
-    low, high = _range(mean_vectors(labeled.select("text"), vectors, size), size)
+    low, high = _range(mean_vectors(labeled, vectors, size), size)
     return CountVectorizer(vectors, low, high)
