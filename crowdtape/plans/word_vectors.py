@@ -47,8 +47,8 @@ def _totals(lists: DataFrame, window: int) -> DataFrame:
     return total.filter("total > 0")
 
 
-def _counted_pairs(lists: DataFrame, window: int, least: int) -> DataFrame:
-    """``word``, ``context`` and ``n`` of the pairs seen ``least`` times or more, both ways; a stored table.
+def _counted_pairs(lists: DataFrame, window: int, least: int, scratch: list[str] | None = None) -> DataFrame:
+    """``word``, ``context`` and ``n`` of the pairs seen ``least`` times or more, both ways; stored tables of ``scratch``.
 
     A pair is counted under one string, whichever of its words comes first. Pairs are
     dealt into passes by the sum of their words' shares, and one pass is shuffled after the other, so
@@ -74,7 +74,7 @@ def _counted_pairs(lists: DataFrame, window: int, least: int) -> DataFrame:
         )
         times = F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n"))
         often = ends.withColumn("n", times).filter(F.col("n") >= least)
-        parts.append(stored(often, "pairs"))
+        parts.append(stored(often, "pairs", scratch))
     counted = reduce(DataFrame.unionByName, parts)
     there = counted.select(F.col("a").alias("word"), F.col("b").alias("context"), "n")
     back = counted.filter("a <> b").select(F.col("b").alias("word"), F.col("a").alias("context"), "n")
@@ -103,13 +103,18 @@ def positive_pmi(pairs: DataFrame, least: int = 1, totals: DataFrame | None = No
     return met.select("word", "context", F.log(ratio).alias("pmi")).filter("pmi > 0")
 
 
-def pair_information(texts: DataFrame, text: str = "text", window: int = WINDOW, least: int = 1) -> DataFrame:
-    """``positive_pmi`` of the words of ``texts``: of all pairs, only those seen ``least`` times are ever stored."""
-    scratch: list[str] = []
-    lists = _token_lists(texts, text, scratch)
-    totals = stored(_totals(lists, window), "word-totals")
-    pairs = _counted_pairs(lists, window, least)
-    drop(texts.sparkSession, scratch)
+def pair_information(
+    texts: DataFrame, text: str = "text", window: int = WINDOW, least: int = 1, scratch: list[str] | None = None
+) -> DataFrame:
+    """``positive_pmi`` of the words of ``texts``: of all pairs, only those seen ``least`` times are ever stored.
+
+    ``scratch`` receives the tables that the result reads, to be dropped when it is written.
+    """
+    spent: list[str] = []
+    lists = _token_lists(texts, text, spent)
+    totals = stored(_totals(lists, window), "word-totals", scratch)
+    pairs = _counted_pairs(lists, window, least, scratch)
+    drop(texts.sparkSession, spent)
     return positive_pmi(pairs, least, totals)
 
 
@@ -180,11 +185,18 @@ def fit_word_vectors(
     """
     import numpy as np
 
+    spark, scratch, whole = texts.sparkSession, [], []
+    matrix = stored(pair_information(texts, text, window, least, scratch), "vectors-pmi", whole)
+    drop(spark, scratch)
+
     def keep(df: DataFrame, name: str) -> DataFrame:
-        # Cuts the lineage: the steps repeat joins over one matrix.
-        return stored(df, f"vectors-{name}")
+        # Cuts the lineage: the steps repeat joins over one matrix. The table it was made of is dropped.
+        spent = scratch.copy()
+        scratch.clear()
+        kept = stored(df, f"vectors-{name}", scratch)
+        drop(spark, spent)
+        return kept
 
-    matrix = keep(pair_information(texts, text, window, least), "pmi")
     wide = size + OVERSAMPLING
     bits = F.xxhash64("context")
     # One hash gives a word's row of random signs.
@@ -197,8 +209,10 @@ def fit_word_vectors(
 
     for _ in range(steps):
         basis = keep(_orthonormal(keep(_orthonormal(keep(step(basis), "step"), wide), "turned"), wide), "basis")
-    image = keep(step(basis).join(basis.select("word", F.col("v").alias("b")), "word"), "image")
+    # The basis is read once more.
+    image = stored(step(basis).join(basis.select("word", F.col("v").alias("b")), "word"), "vectors-image", whole)
     small = _products(image, "b", "v", wide)
+    drop(spark, whole)
     values, turn = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(-np.abs(values), kind="stable")[:size]
     vectors = _turned(basis, "v", turn[:, order] * np.sqrt(np.abs(values[order])), "v")

@@ -112,3 +112,38 @@ def test_a_planted_signal_reaches_the_classifier_and_a_shuffled_one_does_not(spa
         model = NaiveBayes().fit(features.filter("int(id) < 120"))
         accuracies[shuffled] = agreement(model.transform(features.filter("int(id) >= 120"))).first().accuracy
     assert accuracies[False] > 0.9 and accuracies[True] < 0.75
+
+
+def test_no_row_is_made_of_a_word_of_a_text_and_spent_tables_are_gone(spark, texts, monkeypatch):
+    import os
+
+    folders, kept = [], word_vectors.stored
+
+    def recorded(df, purpose, *args, **options):
+        out = kept(df, purpose, *args, **options)
+        folders.extend({(purpose, os.path.dirname(f.removeprefix("file://"))) for f in out.inputFiles()})
+        return out
+
+    monkeypatch.setattr(word_vectors, "stored", recorded)
+    vectors = plans.fit_word_vectors(texts, size=4, least=1)
+    assert {purpose for purpose, folder in folders if os.path.exists(folder)} == {"vectors-words"}
+    assert len(folders) > 8 and vectors.count() == 19
+    posts = spark.createDataFrame([(str(n), "the cat sat on the mat") for n in range(50)], "id string, text string")
+    plan = plans.mean_vectors(posts, vectors, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "sum(" not in plan and "_h1" not in plan  # once: a sum for each text and entry, and a join of the texts
+
+
+def test_means_in_several_tasks_are_those_of_one(spark, monkeypatch):
+    rng = random.Random(2)
+    posts = spark.createDataFrame([(n % 30, " ".join(rng.choices("abcdefg", k=n % 9))) for n in range(60)] + [(1, None)] * 2, "id int, text string")
+    vectors = spark.createDataFrame([(w, [float(n), rng.random()]) for n, w in enumerate("abcdef")], "word string, vector array<double>")
+    runs = []
+    for characters, words in ((10**6, 1 << 16), (100, 3)):
+        monkeypatch.setattr(word_vectors, "MEAN_CHARACTERS", characters)
+        monkeypatch.setattr(word_vectors, "MEAN_WORDS", words)
+        runs.append(sorted(str((r.id, r.text, r.vector and [round(x, 9) for x in r.vector])) for r in plans.mean_vectors(posts, vectors, 2).collect()))
+    assert runs[0] == runs[1] and len(runs[0]) == 62
+    by_hand = {r.word: r.vector for r in vectors.collect()}
+    for r in plans.mean_vectors(posts.filter("text <> ''"), vectors, 2).collect():
+        every = [by_hand.get(w, [0.0, 0.0]) for w in r.text.split(" ")]
+        assert r.vector == pytest.approx(list(np.mean(every, axis=0)))
